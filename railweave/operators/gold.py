@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import is_inflow, is_outflow, mean, period_date, share, sum_if
+from ..sources.storage import period_start
 from .roles import to_role_rows
 
 UNKNOWN = "UNKNOWN"
@@ -140,17 +141,17 @@ def gold_legacy(txn: DataFrame) -> DataFrame:
         F.count("*").alias("txn_count"), F.sum("amount").alias("total_amount"))
 
 
-def touched_days(changed: DataFrame) -> DataFrame:
-    return changed.select(period_date().alias("period_date")).distinct()
+def touched_days(changed: DataFrame, period: str = "day") -> DataFrame:
+    return changed.select(period_start(period_date(), period).alias("period_date")).distinct()
 
 
-def refresh_gold(txn: DataFrame, changed: DataFrame, build=gold_cross_rail) -> DataFrame:
-    """Rebuild only the days that a change batch touches; write it with dynamic overwrite.
+def refresh_gold(txn: DataFrame, changed: DataFrame, build=gold_cross_rail, period: str = "day") -> DataFrame:
+    """Rebuild only the partitions that a change batch touches; write it with dynamic overwrite.
 
     On a fact stored by ``txn_date`` the semi join prunes partitions at run time.
     """
-    day = F.col("txn_date") if "txn_date" in txn.columns else period_date()
-    days = touched_days(changed)
+    day = F.col("txn_date") if "txn_date" in txn.columns else period_start(period_date(), period)
+    days = touched_days(changed, period)
     return build(txn.join(days, day == days["period_date"], "left_semi"))
 
 

@@ -15,6 +15,17 @@ def _dated(schema: StructType, column: str) -> StructType:
     return StructType(schema.fields + [StructField(column, DateType())])
 
 
+def period_start(day, period: str = "day"):
+    """Partition value of a date: the day, or the first day of its month or year for thin feeds."""
+    return day if period == "day" else F.trunc(day, period)
+
+
+def _first(day: dt.date | None, period: str) -> dt.date | None:
+    if day is None or period == "day":
+        return day
+    return day.replace(day=1) if period == "month" else day.replace(month=1, day=1)
+
+
 def _between(column: str, date_from: dt.date | None, date_to: dt.date | None):
     if date_from is None or date_to is None:
         raise ValueError(f"both bounds of {column} are required; an unbounded scan reads every partition")
@@ -22,22 +33,28 @@ def _between(column: str, date_from: dt.date | None, date_to: dt.date | None):
 
 
 def read_raw(spark: SparkSession, rail: str, path: str, date_from: dt.date | None = None,
-             date_to: dt.date | None = None, undated: bool = False) -> DataFrame:
+             date_to: dt.date | None = None, undated: bool = False, period: str = "day") -> DataFrame:
     """A raw rail by its declared schema; the date bound prunes partitions.
 
     ``undated`` also keeps rows whose dating timestamp is missing (cards without
     authorisation), which live in the null partition.
     """
     rows = spark.read.schema(_dated(raw_schema(rail), "raw_date")).parquet(path)
-    keep = _between("raw_date", date_from, date_to)
+    keep = _between("raw_date", _first(date_from, period), date_to) & _within(RAW_DATED_BY[rail], date_from, date_to)
     return rows.filter(keep | F.col("raw_date").isNull() if undated else keep)
 
 
-def write_raw(df: DataFrame, rail: str, path: str) -> None:
+def _within(stamp: str, date_from: dt.date, date_to: dt.date):
+    after = date_to + dt.timedelta(days=1)
+    return (F.col(stamp) >= F.lit(date_from).cast("timestamp")) & (F.col(stamp) < F.lit(after).cast("timestamp"))
+
+
+def write_raw(df: DataFrame, rail: str, path: str, period: str = "day") -> None:
     """Append a change feed to its landing zone, typed as declared."""
     typed = [F.col(f.name).cast(f.dataType).alias(f.name) if f.name in df.columns
              else F.lit(None).cast(f.dataType).alias(f.name) for f in raw_schema(rail)]
-    rows = df.select(*typed).withColumn("raw_date", F.to_date(RAW_DATED_BY[rail]))
+    rows = df.select(*typed).withColumn(
+        "raw_date", period_start(F.to_date(RAW_DATED_BY[rail]), period))
     _write_days(rows, path, "raw_date", RAW_CLUSTERED_BY[rail], "append")
 
 
@@ -53,17 +70,14 @@ def tenant_scan(df: DataFrame, tenant_id: str) -> DataFrame:
     return df.filter(F.col("tenant_id") == F.lit(tenant_id))
 
 
-def scan_silver(df: DataFrame, date_from: dt.date | None, date_to: dt.date | None) -> DataFrame:
+def scan_silver(df: DataFrame, date_from: dt.date | None, date_to: dt.date | None, period: str = "day") -> DataFrame:
     """Silver rows of a date range; both bounds are mandatory.
 
-    A stored fact prunes on ``txn_date``; a fact still in flight filters its timestamp.
+    A stored fact also prunes on its partition column ``txn_date``.
     """
-    if "txn_date" in df.columns:
-        return df.filter(_between("txn_date", date_from, date_to))
-    _between("txn_date", date_from, date_to)
-    after = date_to + dt.timedelta(days=1)
-    return df.filter((F.col("transaction_ts") >= F.lit(date_from).cast("timestamp"))
-                     & (F.col("transaction_ts") < F.lit(after).cast("timestamp")))
+    pruned = _between("txn_date", _first(date_from, period), date_to)
+    rows = df.filter(pruned) if "txn_date" in df.columns else df
+    return rows.filter(_within("transaction_ts", date_from, date_to))
 
 
 def _write_days(df: DataFrame, path: str, day: str, cluster: list[str], mode: str) -> None:
@@ -94,28 +108,34 @@ def _drop_emptied(df: DataFrame, path: str, day: str, days: DataFrame) -> None:
             fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{day}={value}"), True)
 
 
-def write_silver(df: DataFrame, path: str, days: DataFrame | None = None) -> None:
-    """Replace the days present in ``df``; with ``days``, also clear those now empty."""
-    rows = df.withColumn("txn_date", F.to_date("transaction_ts"))
+def write_silver(df: DataFrame, path: str, days: DataFrame | None = None, period: str = "day") -> None:
+    """Replace the partitions present in ``df``; with ``days``, also clear those now empty.
+
+    ``df`` holds every row of the partitions it touches.
+    """
+    rows = df.withColumn("txn_date", period_start(F.to_date("transaction_ts"), period))
     _write_days(rows, path, "txn_date", ["tenant_id", "payment_type", "status"], "overwrite")
     if days is not None:
-        stored = df.sparkSession.read.parquet(path)
-        touched = days.toDF("txn_date")
-        fresh = rows.select("txn_date").distinct()
-        _drop_emptied(fresh.join(stored.select("txn_date").distinct(), "txn_date", "left_semi"), path, "txn_date", touched)
+        touched = days.toDF("d").select(period_start(F.col("d"), period).alias("txn_date"))
+        _drop_emptied(rows, path, "txn_date", touched)
 
 
-def write_gold(df: DataFrame, path: str, days: DataFrame | None = None, updated_at: dt.datetime | None = None) -> None:
-    """Replace whole days idempotently and stamp them."""
+def write_gold(df: DataFrame, path: str, days: DataFrame | None = None, updated_at: dt.datetime | None = None,
+               period: str = "day") -> None:
+    """Replace whole partitions idempotently and stamp them.  Thin tables may store months, in ``part_date``."""
     stamp = F.lit(updated_at) if updated_at else F.current_timestamp()
-    _write_days(df.withColumn("updated_at", stamp.cast("timestamp")), path, "period_date", ["tenant_id"], "overwrite")
+    part = "period_date" if period == "day" else "part_date"
+    rows = df.withColumn("updated_at", stamp.cast("timestamp"))
+    if period != "day":
+        rows = rows.withColumn(part, period_start(F.col("period_date"), period))
+    _write_days(rows, path, part, ["tenant_id"], "overwrite")
     if days is not None:
-        _drop_emptied(df, path, "period_date", days)
+        _drop_emptied(rows, path, part, days.toDF("d").select(period_start(F.col("d"), period).alias(part)))
 
 
-def write_quarantine(df: DataFrame, path: str) -> None:
-    """Rejected rows with their flags, by day of rejection source timestamp."""
-    rows = df.withColumn("txn_date", F.to_date("transaction_ts"))
+def write_quarantine(df: DataFrame, path: str, period: str = "day") -> None:
+    """Rejected rows with their flags, by transaction date."""
+    rows = df.withColumn("txn_date", period_start(F.to_date("transaction_ts"), period))
     _write_days(rows, path, "txn_date", ["tenant_id"], "append")
 
 

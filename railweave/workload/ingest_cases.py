@@ -25,8 +25,8 @@ SELECT tenant_id, status, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount,
 FROM raw_{rail} WHERE {stamp} IS NULL OR CAST({stamp} AS DATE) BETWEEN DATE '{FROM}' AND DATE '{TO}' GROUP BY 1, 2""")
     def _(t):
         path = scratch_path(t.spark, f"raw_{rail}")
-        storage.write_raw(getattr(t, f"raw_{rail}"), rail, path)
-        rows = storage.read_raw(t.spark, rail, path, FROM, TO, undated=True)
+        storage.write_raw(getattr(t, f"raw_{rail}"), rail, path, period="month")
+        rows = storage.read_raw(t.spark, rail, path, FROM, TO, undated=True, period="month")
         return rows.groupBy("tenant_id", "status").agg(
             F.count("*").alias("n"), F.sum("amount").alias("amount"), F.min(RAW_ID[rail]).alias("first_id"))
 
@@ -65,10 +65,10 @@ def _(t):
     """Store all, then replace every day by its large payments only; emptied days disappear."""
     path = scratch_path(t.spark, "silver")
     txn = t.txn.select("transaction_id", "tenant_id", "payment_type", "status", "amount", "transaction_ts")
-    storage.write_silver(txn, path)
+    storage.write_silver(txn, path, period="month")
     days = txn.select(F.to_date("transaction_ts")).distinct()
-    storage.write_silver(txn.filter("amount >= 20000"), path, days)
-    return _by_type(storage.scan_silver(t.spark.read.parquet(path), FROM, TO))
+    storage.write_silver(txn.filter("amount >= 20000"), path, days, period="month")
+    return _by_type(storage.scan_silver(t.spark.read.parquet(path), FROM, TO, period="month"))
 
 
 @case("write_gold", "txn", """
@@ -79,8 +79,8 @@ def _(t):
     path = scratch_path(t.spark, "gold")
     daily = gold.gold_cross_rail(t.txn)
     stamp = dt.datetime(2002, 1, 1)
-    storage.write_gold(daily, path, updated_at=stamp)
-    storage.write_gold(gold.refresh_gold(t.txn, t.txn.filter("_cdc_timestamp >= timestamp'2001-10-01 00:00:00'")), path, updated_at=stamp)
+    storage.write_gold(daily, path, updated_at=stamp, period="month")
+    storage.write_gold(gold.refresh_gold(t.txn, t.txn.filter("_cdc_timestamp >= timestamp'2001-10-01 00:00:00'"), period="month"), path, updated_at=stamp, period="month")
     return t.spark.read.parquet(path).groupBy("tenant_id", "payment_type").agg(
         F.count("*").alias("days"), F.sum("inbound_count").alias("inbound_count"))
 
