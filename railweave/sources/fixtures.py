@@ -266,6 +266,28 @@ SELECT row_hash AS bill_pay_transaction_id, tenant AS tenant_id,
 FROM base WHERE rail = 'BILLPAY'
 """
 
+TABLES["dirty"] = """
+SELECT CASE WHEN n % 997 = 1 THEN 'twin' ELSE transaction_id END AS transaction_id, tenant_id, source_system, source_transaction_id, event_id,
+  CASE WHEN n % 17 = 3 THEN 'CASH' ELSE payment_type END AS payment_type,
+  CASE WHEN n % 19 = 4 THEN NULL ELSE payment_rail END AS payment_rail,
+  CASE WHEN n % 23 = 5 THEN 'SIDEWAYS' ELSE direction END AS direction,
+  CASE WHEN n % 29 = 6 THEN -amount WHEN n % 31 = 2 THEN NULL ELSE amount END AS amount,
+  CASE WHEN n % 37 = 7 THEN lower(currency_code) ELSE currency_code END AS currency_code,
+  settlement_amount, settlement_currency_code,
+  CASE WHEN n % 41 = 8 THEN settlement_currency_code ELSE original_currency_code END AS original_currency_code,
+  CASE WHEN n % 43 = 9 THEN NULL ELSE original_amount END AS original_amount, fx_rate, fx_rate_source, transaction_ts,
+  CASE WHEN n % 47 = 10 THEN 'DECLINED' ELSE status END AS status,
+  CASE WHEN n % 53 = 11 THEN 'R99' ELSE return_reason_code END AS return_reason_code,
+  CASE WHEN n % 5 = 0 THEN description END AS description, is_recurring, is_on_us,
+  CASE WHEN n % 59 = 12 THEN 'GHOST' ELSE originator_party_id END AS originator_party_id, beneficiary_party_id,
+  CASE WHEN n % 61 = 13 THEN 'MAYBE' ELSE originator_resolution_status END AS originator_resolution_status, beneficiary_resolution_status,
+  rail_schema_version, CASE WHEN n % 67 = 14 THEN '[1,2]' WHEN n % 71 = 15 THEN 'not json' ELSE rail_details_json END AS rail_details_json,
+  schema_version, event_ts, ingestion_ts, _cdc_sequence_id, CASE WHEN n % 73 = 16 THEN 'X' ELSE _cdc_operation END AS _cdc_operation,
+  _cdc_timestamp, _cdc_source_system, _cdc_load_timestamp, submitted_ts,
+  acknowledged_ts, settled_ts, effective_date, settlement_date
+FROM (SELECT *, CAST(_cdc_sequence_id AS BIGINT) AS n FROM txn) x
+"""
+
 TABLES["party"] = """
 SELECT 'C' || c_custkey AS party_id, CASE WHEN c_custkey % 4 = 0 THEN 'BUSINESS' ELSE 'INDIVIDUAL' END AS party_type,
   md5('name:' || c_name) AS name_token, c_name AS display_name,
