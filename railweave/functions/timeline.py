@@ -55,6 +55,20 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], values: list[str
         *df.columns, *[near[f"{prefix}_{v}"].alias(f"{prefix}_{v}") for v in values])
 
 
+def latest_before(df: DataFrame, keys: list[str], stamp: str, value: str, hot_rows: int = HOT_ROWS,
+                  slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+    """Add ``latest``: the newest non-NULL ``value`` struct of the key at or before each row."""
+    rows = df.join(hot_keys(df, keys, hot_rows), keys, "left").withColumn("_slot", _slot(micros(stamp), slot_seconds))
+    inside = Window.partitionBy(*keys, "_slot").orderBy(micros(stamp)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = F.when(F.col(value).isNotNull(), F.struct(F.col(stamp).alias("_at"), F.col(value).alias("_v")))
+    rows = rows.withColumn("_mine", F.max(ranked).over(inside))
+    ends = rows.filter("_slot is not null").groupBy(*keys, "_slot").agg(F.max(ranked).alias("_end"))
+    past = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*keys, "_slot", F.max("_end").over(past).alias("_carried"))
+    return rows.join(carried, [*keys, "_slot"], "left").select(
+        *df.columns, F.coalesce("_mine", "_carried")["_v"].alias("latest"))
+
+
 @dataclass(frozen=True)
 class Frame:
     """Sum of ``measure`` over the ``seconds`` up to a row.

@@ -107,13 +107,15 @@ def rail_key_rules() -> Rules:
     return {"json:first_contract_keys": lacking}
 
 
-def flags(rules: Rules) -> Column:
-    return F.array_compact(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules.items()]))
+def flags(rules: Rules) -> list[Column]:
+    """Each rule's name where the rule is broken, else NULL."""
+    return [F.when(broken, F.lit(name)) for name, broken in rules.items()]
 
 
 def broken_rows(df: DataFrame, rules: Rules) -> DataFrame:
     """One row per (transaction, broken rule)."""
-    return df.select("transaction_id", "tenant_id", "payment_type", F.explode(flags(rules)).alias("flag"))
+    return df.select("transaction_id", "tenant_id", "payment_type", F.explode(F.array(*flags(rules))).alias("flag")).filter(
+        "flag is not null")
 
 
 def check_not_null(df: DataFrame) -> DataFrame:
@@ -215,7 +217,7 @@ def check_identity(tables: dict[str, DataFrame]) -> DataFrame:
     """Broken identity rules per table, one aggregate pass each."""
     out = None
     for name, df in tables.items():
-        found = df.select(F.explode(flags(identity_rules(name))).alias("flag")).groupBy("flag").agg(
+        found = df.select(F.explode(F.array(*flags(identity_rules(name)))).alias("flag")).filter("flag is not null").groupBy("flag").agg(
             F.count("*").alias("row_count")).select(F.lit(name).alias("table_name"), "flag", "row_count")
         out = found if out is None else out.unionByName(found)
     return out
@@ -223,9 +225,9 @@ def check_identity(tables: dict[str, DataFrame]) -> DataFrame:
 
 def attach_dq_flags(df: DataFrame, rules: Rules | None = None) -> DataFrame:
     """Add ``dq_flags_json``: a JSON array of broken rules, NULL for a clean row."""
-    found = flags(rules or silver_rules())
-    return df.withColumn("_flags", found).withColumn(
-        "dq_flags_json", F.when(F.size("_flags") > 0, F.to_json("_flags"))).drop("_flags")
+    names = F.concat_ws('","', *flags(rules or silver_rules()))
+    return df.withColumn("_flags", names).withColumn(
+        "dq_flags_json", F.when(F.col("_flags") != "", F.concat(F.lit('["'), F.col("_flags"), F.lit('"]')))).drop("_flags")
 
 
 def split_valid(df: DataFrame, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:

@@ -183,7 +183,7 @@ def contract_sql(version: str, source: str) -> str:
         selects.append(f"SELECT transaction_id, payment_type, p.path, p.problem FROM (SELECT transaction_id, payment_type, unnest([{', '.join(tests)}]) AS p FROM {rows}) u WHERE p IS NOT NULL")
         selects.append(f"SELECT transaction_id, payment_type, k, 'unknown' FROM (SELECT transaction_id, payment_type, unnest(json_keys(rail_details_json)) AS k FROM {rows}) u WHERE k NOT IN {words(fields)}")
         if version == "v1":
-            selects.append(f"SELECT transaction_id, payment_type, k, 'unknown' FROM (SELECT transaction_id, payment_type, unnest(json_keys(rail_details_json, '$.fields')) AS k FROM {rows}) u WHERE k NOT IN {words(fields['fields'].parts)}")
+            selects.append(f"SELECT transaction_id, payment_type, 'fields.' || k, 'unknown' FROM (SELECT transaction_id, payment_type, unnest(json_keys(rail_details_json, '$.fields')) AS k FROM {rows}) u WHERE k NOT IN {words(fields['fields'].parts)}")
     return " UNION ALL ".join(selects)
 
 

@@ -16,6 +16,7 @@ ACTIVITY_AS_OF = dt.date(2024, 1, 31)
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 FAMILY: dict[str, str] = {}
+BODIES: dict[str, Callable] = {}
 
 
 class Tables:
@@ -28,6 +29,23 @@ class Tables:
         return fixtures.table(self.spark, self.sf_dir, name)
 
 
+class StoredTables(Tables):
+    """The same tables, each derived once and stored: what a deployment reads."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+        super().__init__(spark, sf_dir)
+        self.folder, self.stored = folder, set()
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in fixtures.GIVEN:
+            return fixtures.table(self.spark, self.sf_dir, name)
+        path = f"{self.folder}/{name}"
+        if name not in self.stored:
+            fixtures.table(self.spark, self.sf_dir, name).write.mode("overwrite").parquet(path)
+            self.stored.add(name)
+        return self.spark.read.parquet(path)
+
+
 def portable(df: DataFrame) -> DataFrame:
     """Decimals as doubles, dates, times and arrays as text, so engines compare alike."""
     out = []
@@ -52,7 +70,7 @@ def case(name: str, tables: str = "", sql: str | None = None):
             return portable(fn(Tables(spark, sf_dir)))
 
         assert name not in QUERIES, name
-        QUERIES[name] = run
+        QUERIES[name], BODIES[name] = run, fn
         FAMILY[name] = fn.__module__.rsplit('.', 1)[-1]
         if sql is not None:
             ORACLES[name] = fixtures.oracle(tables, sql)
