@@ -486,3 +486,17 @@ def oracle(names: str, body: str) -> str:
     if body.upper().startswith("WITH "):
         return f"WITH {', '.join(ctes)}, {body[5:]}"
     return f"WITH {', '.join(ctes)} {body}"
+
+
+def stream(spark: SparkSession, sf_dir: str, name: str, source: str) -> DataFrame:
+    """A derived table as a stream: the given table ``source`` arrives as files, the rest is static."""
+    schema = spark.read.parquet(f"{sf_dir}/{source}.parquet").schema
+    arriving = spark.readStream.schema(schema).option("pathGlobFilter", f"{source}.parquet").parquet(sf_dir)
+    view = f"railweave_stream_{source}"
+    arriving.createOrReplaceTempView(view)
+    derived = _closure([name])
+    text = " ".join(TABLES[d] for d in derived)
+    given = [g for g in GIVEN if re.search(rf"\b(?:FROM|JOIN) {g}\b", text)]
+    ctes = [f"{g} AS (SELECT * FROM {view})" if g == source else f"{g} AS (SELECT * FROM parquet.`{sf_dir}/{g}.parquet`)" for g in given]
+    ctes += [f"{d} AS ({_body(d, True)})" for d in derived]
+    return spark.sql(f"WITH {', '.join(ctes)} SELECT * FROM {name}")
