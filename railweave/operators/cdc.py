@@ -52,7 +52,7 @@ def tombstones(changes: DataFrame) -> DataFrame:
 
 
 def merge_cdc(target: DataFrame, changes: DataFrame, guard_deletes: bool = False,
-              graves: DataFrame | None = None) -> DataFrame:
+              graves: DataFrame | None = None, deduplicated: bool = False) -> DataFrame:
     """Target after the change batch.
 
     Matched delete removes the row, matched newer insert or update replaces it, an
@@ -61,9 +61,11 @@ def merge_cdc(target: DataFrame, changes: DataFrame, guard_deletes: bool = False
 
     The target is the left side of an outer join and of a semi join on bare keys: with
     a small batch both broadcast it and the target does not move; with a large batch
-    both shuffle on the key, which AQE splits where skewed.
+    both shuffle on the key, which AQE splits where skewed.  The batch is used three
+    times: a caller that stores it first passes ``deduplicated``.
     """
-    staged = latest_changes(changes.unionByName(graves) if graves is not None else changes)
+    batch = changes.unionByName(graves) if graves is not None else changes
+    staged = batch if deduplicated else latest_changes(batch)
     columns = target.columns
     joined = target.select(*KEY, F.struct(*columns).alias("_t")).join(
         staged.select(*KEY, F.struct(*columns).alias("_s")), KEY, "left")
@@ -111,7 +113,7 @@ def merge_cdc_incremental(spark: SparkSession, path: str, changes: DataFrame, gu
         period_start(F.to_date("transaction_ts"), period).alias("txn_date"))
     touched = cut_lineage(old.union(new).distinct())
     part = target.join(touched, "txn_date", "left_semi").select(*columns)
-    write_silver(cut_lineage(merge_cdc(part, staged, guard_deletes)), path, touched, period)
+    write_silver(cut_lineage(merge_cdc(part, staged, guard_deletes, deduplicated=True)), path, touched, period)
 
 
 def snapshot_as_of(log: DataFrame, moment: dt.datetime) -> DataFrame:
