@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import left_lookup
 from ..sources.refdata import MATCH_RULES
 from .graph import follow
 from .roles import to_role_rows
@@ -45,23 +46,22 @@ def _keyed(accounts: DataFrame, keys: dict[str, Column], rule: str) -> DataFrame
 
 
 def match_exact(queue: DataFrame, accounts: DataFrame) -> DataFrame:
-    return queue.join(_keyed(accounts, {"account_token": F.col("account_number_token")}, "EXACT_TOKEN"),
-                      ["tenant_id", "account_token"], "left")
+    return left_lookup(queue, _keyed(accounts, {"account_token": F.col("account_number_token")}, "EXACT_TOKEN"), ["tenant_id", "account_token"])
 
 
 def match_routing(queue: DataFrame, accounts: DataFrame) -> DataFrame:
     keys = {"routing_number": F.col("institution_routing_number"), "last4": F.col("card_last_four")}
-    return queue.join(_keyed(accounts, keys, "ROUTING_ACCOUNT"), ["tenant_id", *keys], "left")
+    return left_lookup(queue, _keyed(accounts, keys, "ROUTING_ACCOUNT"), ["tenant_id", *keys])
 
 
 def match_proxy(queue: DataFrame, accounts: DataFrame) -> DataFrame:
-    return queue.join(_keyed(accounts, {"proxy_token": F.col("proxy_value_token")}, "PROXY_EXACT"), ["tenant_id", "proxy_token"], "left")
+    return left_lookup(queue, _keyed(accounts, {"proxy_token": F.col("proxy_value_token")}, "PROXY_EXACT"), ["tenant_id", "proxy_token"])
 
 
 def match_name(queue: DataFrame, parties: DataFrame, accounts: DataFrame) -> DataFrame:
     named = accounts.join(parties.select("party_id", "name_token"), "party_id")
     keys = {"name_token": F.col("name_token"), "routing_number": F.col("institution_routing_number")}
-    return queue.join(_keyed(named, keys, "NAME_ROUTING"), ["tenant_id", *keys], "left")
+    return left_lookup(queue, _keyed(named, keys, "NAME_ROUTING"), ["tenant_id", *keys])
 
 
 def new_party_id(tenant: str = "tenant_id", token: str = "account_token") -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import left_lookup
+
 RAIL_FLAGS = ("is_rtp_participant", "is_fednow_participant", "is_zelle_participant")
 
 
@@ -60,7 +62,7 @@ def on_us_from_accounts(txn: DataFrame, accounts: DataFrame) -> DataFrame:
     """Compare the flag with the linked accounts: both held here."""
     for side in ("originator", "beneficiary"):
         held = accounts.select(F.col("account_id").alias(f"{side}_account_id"), F.col("is_on_us").alias(f"{side}_held_here"))
-        txn = txn.join(held, f"{side}_account_id", "left")
+        txn = left_lookup(txn, held, [f"{side}_account_id"])
     held_here = F.col("originator_held_here") & F.col("beneficiary_held_here")
     return txn.withColumn("accounts_on_us", held_here).withColumn(
         "on_us_mismatch", F.col("accounts_on_us") != F.col("is_on_us"))

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import left_lookup
 from ..functions.money import recent, settled, share
 from ..functions.timeline import HOT_ROWS, SLOT_SECONDS, latest_before
 from ..sources.refdata import PAYMENT_TYPES, STATUS_CODES
@@ -37,7 +38,7 @@ def transactions_with_parties(txn: DataFrame, parties: DataFrame, accounts: Data
             F.col("institution_routing_number").alias(f"{short}_fi_routing"), F.col("institution_swift_bic").alias(f"{short}_fi_swift_bic"),
             F.col("institution_name").alias(f"{short}_fi_name"), F.col("institution_iban_country_code").alias(f"{short}_iban_country_code"),
             F.col("is_on_us").alias(f"{short}_account_is_on_us"))
-        rows = rows.join(party, f"{side}_party_id", "left").join(account, f"{side}_account_id", "left")
+        rows = left_lookup(left_lookup(rows, party, [f"{side}_party_id"]), account, [f"{side}_account_id"])
     added = [c for c in rows.columns if c.startswith(("orig_", "bene_")) and c != "orig_iban_country_code"]
     return rows.select(*[c for c in FACT_COLUMNS if c in rows.columns], *added)
 
