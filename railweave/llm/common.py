@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -31,3 +33,17 @@ def utf8_size(text: Column) -> Column:
 def doc_fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo ``folds``; a null id counts as the empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds).cast("int")
+
+
+def number_rows(df: DataFrame, keys: list[str], uid: str, rows: int, name: str) -> DataFrame:
+    """Number the rows of each key from 0 without gaps.
+
+    A key is spread over about sqrt(rows) buckets, so neither a hot key nor the table of
+    bucket sizes grows with more than the square root of the input.  ``df`` must be stable.
+    """
+    buckets = max(1, math.isqrt(rows))
+    spread = df.withColumn("_bucket", F.pmod(F.xxhash64(uid), F.lit(buckets)))
+    before = F.sum("_n").over(Window.partitionBy(*keys).orderBy("_bucket")) - F.col("_n")
+    starts = spread.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_n")).select(*keys, "_bucket", before.alias("_start"))
+    inside = F.row_number().over(Window.partitionBy(*keys, "_bucket").orderBy(uid))
+    return spread.withColumn("_inside", inside).join(starts, [*keys, "_bucket"]).withColumn(name, F.col("_start") + F.col("_inside") - 1).drop("_bucket", "_inside", "_start")

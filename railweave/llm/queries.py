@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, sharding
+from . import byte_bpe, packing, sharding
 from .common import table
 
 
@@ -12,9 +12,13 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op6_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op7_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op6_nnls_packing, op7_byte_bpe)}
 ORACLES: dict[str, str] = {}

@@ -14,7 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store, utf8_size
+from .common import number_rows, store, utf8_size
 
 BINS = 4096
 TOP = (1 << 62) - 1
@@ -90,7 +90,7 @@ def _find(rows: DataFrame, nodes: dict[int, dict], slack: float) -> list[tuple]:
 
 
 def kd_shards(df: DataFrame, dims: dict[str, Column], text: Column, row_id: Column, shards: int | None = None,
-              target_bytes: int | None = None, extra: dict[str, Column] | None = None, keep_whole: float = 0.02, slot_rows: int = 100_000) -> DataFrame:
+              target_bytes: int | None = None, extra: dict[str, Column] | None = None, keep_whole: float = 0.02) -> DataFrame:
     """One row per input row: row_id, size, ``extra`` columns, shard, slot.
 
     ``dims`` are whole numbers from 0 to 2^62 - 1; null counts as 0.  Give ``shards`` or
@@ -134,13 +134,7 @@ def kd_shards(df: DataFrame, dims: dict[str, Column], text: Column, row_id: Colu
             first, n = leaf.pop(node)
             leaf[2 * node], leaf[2 * node + 1] = (first, n // 2), (first + n // 2, n - n // 2)
     shard = _frame(spark, [(node, first) for node, (first, _) in leaf.items()], "node long, shard int")
-    buckets = max(1, math.ceil((root.n or 0) / shards / slot_rows))
-    placed = rows.join(shard, "node").select("uid", "shard", F.pmod(F.xxhash64("uid"), F.lit(buckets)).alias("bucket"))
-    # number rows inside small buckets of a shard, and buckets after one another
-    offset = F.sum("n").over(Window.partitionBy("shard").orderBy("bucket")) - F.col("n")
-    starts = placed.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n")).select("shard", "bucket", offset.alias("start"))
-    slots = placed.join(starts, ["shard", "bucket"]).select(
-        "uid", "shard", (F.col("start") + F.row_number().over(Window.partitionBy("shard", "bucket").orderBy("uid")) - 1).alias("slot"))
+    slots = number_rows(rows.join(shard, "node").select("uid", "shard"), ["shard"], "uid", root.n or 0, "slot")
     return narrow.join(slots, "uid").select("row_id", "size", *extra, "shard", "slot")
 
 
