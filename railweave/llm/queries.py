@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, packing, sharding
+from . import byte_bpe, packing, sharding, warc
+from ..session import scratch_path
 from .common import table
 
 
@@ -12,6 +13,12 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
+    return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -20,5 +27,5 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op6_nnls_packing, op7_byte_bpe)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_warc_chain, op6_nnls_packing, op7_byte_bpe)}
+ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE}
