@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, packing, sharding, warc
+from . import byte_bpe, fingerprint, language, packing, sharding, warc
 from ..session import scratch_path
 from .common import table
 
@@ -13,6 +13,10 @@ def op1_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op2_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_documents(table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
 def op3_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write(table(spark, sf_dir, "pages", "page_id", "url", "html"), path)
@@ -31,5 +35,5 @@ def op10_parsing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op3_warc_chain, op6_nnls_packing, op7_byte_bpe, op10_parsing_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op6_nnls_packing, op7_byte_bpe, op10_parsing_fingerprints)}
 ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE}
