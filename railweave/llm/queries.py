@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, packing, sharding, warc
+from . import byte_bpe, fingerprint, language, lm, packing, sharding, warc
 from ..session import scratch_path
 from .common import table
 
@@ -31,9 +31,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op10_parsing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op6_nnls_packing, op7_byte_bpe, op10_parsing_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op6_nnls_packing, op7_byte_bpe, op9_deleted_interpolation, op10_parsing_fingerprints)}
 ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE}
