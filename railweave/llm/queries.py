@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, lm, packing, sharding, substrings, warc
+from . import byte_bpe, fingerprint, language, lm, minhash, packing, sharding, substrings, warc
 from ..session import scratch_path
 from .common import table
 
@@ -23,6 +23,10 @@ def op3_warc_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.dedup_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -43,5 +47,5 @@ def op10_parsing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op5_suffix_dedup, op6_nnls_packing, op7_byte_bpe, op9_deleted_interpolation, op10_parsing_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op4_bagminhash, op5_suffix_dedup, op6_nnls_packing, op7_byte_bpe, op9_deleted_interpolation, op10_parsing_fingerprints)}
 ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE}
