@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_bpe, fingerprint, language, lm, minhash, packing, sharding, substrings, warc
+from . import byte_bpe, fingerprint, language, lm, minhash, neighbours, packing, sharding, substrings, warc
 from ..session import scratch_path
 from .common import table
 
@@ -39,6 +39,10 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
 def op9_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -47,5 +51,5 @@ def op10_parsing_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.compare_with_next(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op4_bagminhash, op5_suffix_dedup, op6_nnls_packing, op7_byte_bpe, op9_deleted_interpolation, op10_parsing_fingerprints)}
+QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op4_bagminhash, op5_suffix_dedup, op6_nnls_packing, op7_byte_bpe, op8_hnsw, op9_deleted_interpolation, op10_parsing_fingerprints)}
 ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE}
