@@ -135,8 +135,11 @@ def _offsets(lengths) -> pa.Array:
 
 
 def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCABULARY, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """Replace ``text`` by its ids; all other columns stay.  Null and empty texts give an empty array."""
-    rest = [c for c in df.columns if c != text]
+    """Replace ``text`` by its ids; all other columns stay, but one named ``ids`` is replaced.
+
+    Null and empty texts give an empty array.
+    """
+    rest = [c for c in df.columns if c not in (text, ids)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (ranks, cache), find = _load(path), regex.compile(pattern).findall
@@ -158,7 +161,8 @@ def encode(df: DataFrame, text: str = "text", ids: str = "ids", path: str = VOCA
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", path: str = VOCABULARY) -> DataFrame:
-    """Add the bytes that the ids stand for; null ids give no bytes."""
+    """Add the bytes that the ids stand for (a column of that name is replaced); null ids give no bytes."""
+    df = df.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ranks, _ = _load(path)

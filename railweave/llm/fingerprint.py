@@ -128,7 +128,8 @@ def likeness(a: list[list[int]], b: list[list[int]]) -> float:
 
 
 def fingerprints(df: DataFrame, text: str = "text", out: str = "fingerprint") -> DataFrame:
-    """Add the fingerprint of ``text``; null counts as empty."""
+    """Add the fingerprint of ``text`` (a column of that name is replaced); null counts as empty."""
+    df = df.drop(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:

@@ -244,8 +244,9 @@ def _posteriors(model: Model, texts: list[str | None]):
     return split, sizes, words.spoken[codes] if len(codes) else np.zeros(0, bool), post
 
 
-def _run(df: DataFrame, model: Model, made, fields: str) -> DataFrame:
-    rest = [c for c in df.columns if c != "text"]
+def _run(df: DataFrame, model: Model, made, fields: str, keep_text: bool = False) -> DataFrame:
+    new = {f.split()[0] for f in fields.split(", ")}
+    rest = [c for c in df.columns if c not in new and (keep_text or c != "text")]
     shared = df.sparkSession.sparkContext.broadcast(model)  # size fixed by BITS and the number of languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -262,7 +263,7 @@ def _run(df: DataFrame, model: Model, made, fields: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), *columns], [*rest, *names])
                 at = end
 
-    base = df.select(*rest, "text")
+    base = df.select(*rest) if keep_text else df.select(*rest, "text")
     kept = ", ".join(f"`{n}` {t}" for n, t in df.select(*rest).dtypes)
     return base.mapInArrow(run, ", ".join(x for x in (kept, fields) if x))
 
@@ -278,10 +279,11 @@ def _documents(model: Model, texts: list[str | None]):
     return [pa.array(lang, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())], ["lang_pred", "score"]
 
 
-def identify(df: DataFrame, model: Model) -> DataFrame:
+def identify(df: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     """Replace ``text`` by ``lang_pred`` and ``score``, the mean posterior of that language over
-    the words with a letter; ``und`` and 0 without such a word.  The other columns stay."""
-    return _run(df, model, _documents, "lang_pred string, score double")
+    the words with a letter; ``und`` and 0 without such a word.  The other
+    columns stay, ``text`` too if asked; columns of the new names are replaced."""
+    return _run(df, model, _documents, "lang_pred string, score double", keep_text)
 
 
 def _words(model: Model, texts: list[str | None]):

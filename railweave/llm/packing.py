@@ -183,16 +183,17 @@ def pack(df: DataFrame, length: str = "length", window: int = WINDOW) -> DataFra
     """Add ``sequence_id`` and ``offset``; ``length`` is 1 to ``window``.
 
     The driver sees the histogram of lengths: at most ``window`` rows.  ``df`` must give the
-    same rows each time it is read (a stored table).  Extra columns stay; an empty table gives
-    no rows; equal rows are separate pieces.
+    same rows each time it is read (a stored table).  Extra columns stay, columns of the new
+    names are replaced; an empty table gives no rows; equal rows are separate pieces.
     """
-    own = store(df.withColumn("_uid", F.monotonically_increasing_id()), "pack-pieces")
+    kept = F.struct(*(c for c in df.columns if c not in ("sequence_id", "offset"))).alias("_row")
+    own = store(df.select(kept, F.col(length).cast("long").alias("_length"), F.monotonically_increasing_id().alias("_uid")), "pack-pieces")
     bounds = classes(window)
     of = np.searchsorted(bounds, np.arange(window + 1))  # class of each length
-    lengths = own.groupBy(length).agg(F.count(F.lit(1)).alias("n")).collect()
+    lengths = own.groupBy("_length").agg(F.count(F.lit(1)).alias("n")).collect()
     counts = np.zeros(len(bounds), np.int64)
     for r in lengths:
-        counts[of[r[length]]] += r.n
+        counts[of[r["_length"]]] += r.n
     first, used, slots = 0, np.zeros(len(bounds), np.int64), []
     for combo, repeats in plan(counts, window):
         for c, times in combo:
@@ -201,8 +202,8 @@ def pack(df: DataFrame, length: str = "length", window: int = WINDOW) -> DataFra
         first += repeats
     edges = F.array(*(F.lit(int(b)) for b in bounds))
     # a class is found by rule: the index of the first bound that is not smaller
-    cls = F.size(F.filter(edges, lambda b: b < F.col(length)))
-    narrow = own.select("_uid", F.col(length).alias("_length"), cls.alias("_class"))
+    cls = F.size(F.filter(edges, lambda b: b < F.col("_length")))
+    narrow = own.select("_uid", "_length", cls.alias("_class"))
     ranked = number_rows(narrow, ["_class"], "_uid", int(counts.sum()), "_rank")
     spans = own.sparkSession.createDataFrame(slots or [(-1, 0, 0, 1, 0)], "_class int, _from long, _to long, _times long, _first long")
     # at most three rows per combination and one combination per class: a few hundred rows
@@ -215,7 +216,7 @@ def pack(df: DataFrame, length: str = "length", window: int = WINDOW) -> DataFra
         lambda g: _best_fit(g, window, first), "_uid long, _length long, sequence_id long")
     order = Window.partitionBy("sequence_id").orderBy(F.desc("_length"), "_uid")
     offsets = placed.unionByName(greedy).withColumn("offset", F.sum("_length").over(order) - F.col("_length")).select("_uid", "sequence_id", "offset")
-    return own.join(offsets, "_uid").drop("_uid")
+    return own.join(offsets, "_uid").select("_row.*", "sequence_id", "offset")
 
 
 def _best_fit(cell: pd.DataFrame, window: int, first: int) -> pd.DataFrame:

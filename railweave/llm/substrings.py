@@ -217,12 +217,13 @@ def repeated_spans(texts: DataFrame, length: int = LENGTH, shard_segments: int =
 
 def remove_repeats(docs: DataFrame, text: str = "text", length: int = LENGTH, **bounds) -> DataFrame:
     """Add ``kept`` (the remaining bytes), ``n_bytes``, ``n_removed`` and ``n_spans`` to each row, without ``text``.
+    Columns of these names are replaced.
 
     Every byte covered by a string of ``length`` bytes that starts anywhere else too goes, in
     all places; matches never cross rows and are judged on the input.  A text that occurs
     twice is a match of itself.  Null and empty texts stay empty; no rows give no rows.
     """
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, "kept", "n_bytes", "n_removed", "n_spans")]
     rows = docs.select(*(F.col(c).alias(f"_{i}") for i, c in enumerate(rest)), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("bytes"))
     rows = rows.withColumn("digest", F.unhex(F.md5("bytes")))
     spans = repeated_spans(rows.select("digest", "bytes"), length, **bounds)
