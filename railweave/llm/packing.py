@@ -29,7 +29,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 WINDOW = 4096
 END = 2
 CELL_PIECES = 2_000
-CACHED_WORDS = 300_000  # a memory bound of the lookup of words met before, nothing else
+CACHED_WORDS = 1_000_000  # a memory bound of the lookup of words met before, nothing else
 
 
 @lru_cache(maxsize=2)
