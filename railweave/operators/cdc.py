@@ -78,8 +78,8 @@ def merge_cdc(target: DataFrame, changes: DataFrame, guard_deletes: bool = False
     return kept.unionByName(added)
 
 
-def merge_actions(target: DataFrame, changes: DataFrame) -> DataFrame:
-    """What the merge does with each key, from the key and order columns only."""
+def merge_actions(target: DataFrame, changes: DataFrame, guard_deletes: bool = False) -> DataFrame:
+    """What ``merge_cdc`` with the same ``guard_deletes`` does with each key, from the key and order columns only."""
     order = ["_cdc_timestamp", "_cdc_sequence_id"]
     staged = latest_changes(changes.select(*KEY, *CHANGE_ORDER, "_cdc_operation")).select(
         *KEY, F.struct(*order, "_cdc_operation").alias("_s"))
@@ -87,14 +87,14 @@ def merge_actions(target: DataFrame, changes: DataFrame) -> DataFrame:
     op, here, there = F.col("_s._cdc_operation"), F.col("_t").isNotNull(), F.col("_s").isNotNull()
     action = (
         F.when(here & ~there, "KEEP")
-        .when(here & (op == "D"), F.when(is_newer(), "DELETE").otherwise("STALE_DELETE"))
+        .when(here & (op == "D"), F.when(is_newer() | F.lit(not guard_deletes), "DELETE").otherwise("STALE_DELETE"))
         .when(here, F.when(is_newer(), "UPDATE").otherwise("STALE"))
         .when(op == "D", "IGNORED_DELETE").otherwise("INSERT"))
     return pairs.select(*KEY, action.alias("action"))
 
 
-def merge_audit(target: DataFrame, changes: DataFrame) -> DataFrame:
-    return merge_actions(target, changes).groupBy("tenant_id", "action").agg(F.count("*").alias("key_count"))
+def merge_audit(target: DataFrame, changes: DataFrame, guard_deletes: bool = False) -> DataFrame:
+    return merge_actions(target, changes, guard_deletes).groupBy("tenant_id", "action").agg(F.count("*").alias("key_count"))
 
 
 def merge_cdc_incremental(spark: SparkSession, path: str, changes: DataFrame, guard_deletes: bool = False,

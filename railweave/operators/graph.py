@@ -35,9 +35,9 @@ def follow(links: DataFrame, node: str, to: str, max_rounds: int) -> DataFrame:
             F.col("_to").isNotNull().alias("cyclic")))
         still_open = links.filter("cyclic").count()
         if still_open in (0, open_before):
-            break
+            return links
         open_before = still_open
-    return links
+    raise RuntimeError(f"chains did not settle in {max_rounds} rounds")
 
 
 def ubo_volume(txn: DataFrame, rel: DataFrame, owner: str) -> DataFrame:
@@ -47,10 +47,10 @@ def ubo_volume(txn: DataFrame, rel: DataFrame, owner: str) -> DataFrame:
     return txn.join(owned, "originator_party_id").agg(F.count("*").alias("txn_count"), F.sum(settled()).alias("volume"))
 
 
-def ubo_closure(rel: DataFrame, max_depth: int = 10) -> DataFrame:
+def ubo_closure(rel: DataFrame) -> DataFrame:
     """Effective ownership over all chains: product of shares along a path, summed over paths.
 
-    A path never visits a party twice.
+    A path never visits a party twice, so the walk ends by itself, whatever the depth.
     """
     edges = cut_lineage(rel.filter((F.col("relationship_type") == "BENEFICIAL_OWNER") & F.col("ownership_percentage").isNotNull()).select(
         F.col("party_id_b").alias("from"), F.col("party_id_a").alias("entity"), (F.col("ownership_percentage").cast("double") / 100).alias("share")))
@@ -58,7 +58,9 @@ def ubo_closure(rel: DataFrame, max_depth: int = 10) -> DataFrame:
         F.col("from").alias("owner"), "entity", "share", F.array("from", "entity").alias("path"))
     found = frontier.select("owner", "entity", "share", F.lit(1).alias("depth"))
     step = edges.select(F.col("from").alias("at"), F.col("entity").alias("next"), F.col("share").alias("next_share"))
-    for depth in range(2, max_depth + 1):
+    depth = 1
+    while True:
+        depth += 1
         frontier = cut_lineage(frontier.join(step, F.col("entity") == F.col("at")).filter(
             ~F.array_contains("path", F.col("next"))).select(
             "owner", F.col("next").alias("entity"), (F.col("share") * F.col("next_share")).alias("share"),
@@ -70,12 +72,25 @@ def ubo_closure(rel: DataFrame, max_depth: int = 10) -> DataFrame:
         F.sum("share").alias("effective_share"), F.min("depth").alias("min_depth"), F.count("*").alias("path_count"))
 
 
-def hierarchy(rel: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """Corporate root and depth of every subsidiary; of several parents the lowest id counts."""
-    up = rel.filter(F.col("relationship_type") == "PARENT_SUBSIDIARY").groupBy(F.col("party_id_b").alias("party_id")).agg(
-        F.min("party_id_a").alias("root"), F.lit(1).alias("steps"))
-    ends = follow(up, "party_id", "root", max_rounds)
-    return ends.filter(~F.col("cyclic")).select("party_id", F.col("root").alias("root_party_id"), F.col("steps").alias("depth"))
+def hierarchy(rel: DataFrame) -> DataFrame:
+    """Every corporate root above a subsidiary, with the least number of steps to it.
+
+    A subsidiary with several parents is walked up through each of them; an ancestor already
+    known is not walked again, so cycles end, and they have no root.
+    """
+    up = cut_lineage(rel.filter(F.col("relationship_type") == "PARENT_SUBSIDIARY").select(
+        F.col("party_id_b").alias("party_id"), F.col("party_id_a").alias("above")).distinct())
+    step = up.select(F.col("party_id").alias("above"), F.col("above").alias("_next"))
+    known, fresh, depth = up.withColumn("depth", F.lit(1)), up, 1
+    while True:
+        depth += 1
+        fresh = cut_lineage(fresh.join(step, "above").select("party_id", F.col("_next").alias("above")).distinct().join(
+            known, ["party_id", "above"], "left_anti"))
+        if fresh.isEmpty():
+            break
+        known = cut_lineage(known.unionByName(fresh.withColumn("depth", F.lit(depth))))
+    inner = up.select(F.col("party_id").alias("above")).distinct()
+    return known.join(inner, "above", "left_anti").select("party_id", F.col("above").alias("root_party_id"), "depth")
 
 
 def party_groups(rel: DataFrame, max_rounds: int = 64) -> DataFrame:
@@ -104,14 +119,16 @@ def party_groups(rel: DataFrame, max_rounds: int = 64) -> DataFrame:
         if now.exceptAll(edges).isEmpty() and edges.exceptAll(now).isEmpty():
             break
         edges = now
+    else:
+        raise RuntimeError(f"groups did not settle in {max_rounds} rounds")
     members = edges.select(F.col("u").alias("party_id"), F.col("v").alias("group_id"))
     return members.union(edges.select(F.col("v"), F.col("v")).distinct())
 
 
 def graph_edges(txn: DataFrame, rel: DataFrame) -> DataFrame:
-    """Money edges by pair and rail, tagged with the pair's relationship in either direction."""
+    """Money edges by pair and rail, tagged with all relationships of the pair in either direction."""
     tags = rel.groupBy(F.least("party_id_a", "party_id_b").alias("low"), F.greatest("party_id_a", "party_id_b").alias("high")).agg(
-        F.min("relationship_type").alias("relationship"))
+        F.array_join(F.sort_array(F.collect_set("relationship_type")), ",").alias("relationship"))
     edges = txn.filter(F.col("originator_party_id").isNotNull() & F.col("beneficiary_party_id").isNotNull()).groupBy(
         F.col("originator_party_id").alias("source"), F.col("beneficiary_party_id").alias("target"), "payment_type").agg(
         F.count("*").alias("txn_count"), F.sum(settled()).alias("volume"))

@@ -65,22 +65,26 @@ def match_name(queue: DataFrame, parties: DataFrame, accounts: DataFrame) -> Dat
 
 
 def new_party_id(tenant: str = "tenant_id", token: str = "account_token") -> Column:
-    """Deterministic id, so that a rerun mints the same party."""
-    return F.concat(F.lit("N"), F.substring(F.sha2(F.concat_ws("|", tenant, token), 256), 1, 32))
+    """Deterministic id, so that a rerun mints the same party; without a token there is none."""
+    return F.concat(F.lit("N"), F.sha2(F.concat(F.col(tenant), F.lit("|"), F.col(token)), 256))
 
 
 def resolve(queue: DataFrame, parties: DataFrame, accounts: DataFrame) -> DataFrame:
-    """First rule that matches wins; a key shared by several accounts only makes a candidate."""
+    """First rule that matches wins; a key shared by several accounts only makes a candidate.
+
+    An unmatched token mints a party that is still to be confirmed; a row without match and
+    token stays as it is, without party and rule.
+    """
     rows = match_name(match_proxy(match_routing(match_exact(block_keys(queue), accounts), accounts), accounts), parties, accounts)
     rules = [r for r in CONFIDENCE if r != "NEW_PARTY"]
     hit = F.coalesce(*rules)
-    rule = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(r)) for r in rules], F.lit("NEW_PARTY"))
+    rule = F.coalesce(*[F.when(F.col(r).isNotNull(), F.lit(r)) for r in rules], F.when(F.col("account_token").isNotNull(), "NEW_PARTY"))
     score = F.coalesce(*[F.when(F.col("match_rule") == r, F.lit(s)) for r, s in CONFIDENCE.items()]).cast("decimal(5,4)")
     return rows.select(
         *[c for c in queue.columns if c not in ("party_id", "account_id", "match_rule", "block_key", "resolution_status", "resolution_confidence")],
         "block_key", rule.alias("match_rule"), hit["best"]["account_id"].alias("account_id"),
         F.coalesce(hit["best"]["party_id"], new_party_id()).alias("party_id"),
-        F.when(hit.isNull(), "CONFIRMED").when(hit["shared"] > 1, "CANDIDATE").otherwise("CONFIRMED").alias("resolution_status"),
+        F.when(hit.isNull(), "UNRESOLVED").when(hit["shared"] > 1, "CANDIDATE").otherwise("CONFIRMED").alias("resolution_status"),
     ).withColumn("resolution_confidence", score)
 
 
@@ -91,13 +95,18 @@ def mint_parties(resolved: DataFrame) -> DataFrame:
 
 
 def resolution_events(resolved: DataFrame) -> DataFrame:
-    """Audit row per decision with a snapshot of the compared fields."""
+    """Audit row per decision with a snapshot of the compared fields.
+
+    ``expected`` is the value of the chosen account or party: equal to the actual one where the
+    rule compared that field, else unknown here.
+    """
     rule = F.col("match_rule")
-    compared = F.to_json(F.struct(
-        F.struct(F.col("account_token").alias("actual"), (rule == "EXACT_TOKEN").alias("match")).alias("account_token"),
-        F.struct(F.col("routing_number").alias("actual"), rule.isin("ROUTING_ACCOUNT", "NAME_ROUTING").alias("match")).alias("routing_number"),
-        F.struct(F.col("proxy_token").alias("actual"), (rule == "PROXY_EXACT").alias("match")).alias("proxy_token")))
-    return resolved.select(
+    compares = {"account_token": ["EXACT_TOKEN"], "routing_number": ["ROUTING_ACCOUNT", "NAME_ROUTING"], "last4": ["ROUTING_ACCOUNT"],
+                "proxy_token": ["PROXY_EXACT"], "name_token": ["NAME_ROUTING"]}
+    compared = F.to_json(F.struct(*[
+        F.struct(F.when(rule.isin(*rules), F.col(field)).alias("expected"), F.col(field).alias("actual"), rule.isin(*rules).alias("match")).alias(field)
+        for field, rules in compares.items()]))
+    return resolved.filter(rule.isNotNull()).select(
         F.sha2(F.concat_ws("|", "transaction_id", "party_role"), 256).alias("resolution_event_id"), "tenant_id", "transaction_id", "party_role",
         F.col("party_id").alias("source_party_id"), F.when(rule != "NEW_PARTY", F.col("party_id")).alias("target_party_id"),
         F.when(rule == "NEW_PARTY", "NEW_PARTY").when(F.col("resolution_status") == "CANDIDATE", "MATCH_CANDIDATE").otherwise("MATCH_CONFIRMED").alias("event_type"),
@@ -157,16 +166,15 @@ def block_stats(accounts: DataFrame, top: int) -> DataFrame:
 
 
 def dup_parties(parties: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Likely duplicates: same tax token, or same name and address, within a tenant.
+    """Likely duplicates: same tax token, or any address in common, within a tenant.
 
     Every member points to the lowest id of its group, so a group of n gives n - 1 rows
     instead of all its pairs.
     """
-    located = parties.join(addresses.groupBy("party_id").agg(F.min("address_line1_token").alias("line1")), "party_id", "left")
-    reasons = F.array(
-        F.struct(F.lit("TAX_TOKEN").alias("reason"), F.col("tax_id_token").alias("evidence")),
-        F.struct(F.lit("ADDRESS").alias("reason"), F.col("line1").alias("evidence")))
-    rows = located.select("tenant_id", "party_id", F.explode(reasons).alias("r")).select("tenant_id", "party_id", "r.*").filter("evidence is not null")
+    taxed = parties.select("tenant_id", "party_id", F.lit("TAX_TOKEN").alias("reason"), F.col("tax_id_token").alias("evidence"))
+    located = parties.select("tenant_id", "party_id").join(addresses.select("party_id", "address_line1_token").distinct(), "party_id").select(
+        "tenant_id", "party_id", F.lit("ADDRESS").alias("reason"), F.col("address_line1_token").alias("evidence"))
+    rows = taxed.unionByName(located).filter("evidence is not null")
     lowest = rows.groupBy("tenant_id", "reason", "evidence").agg(F.min("party_id").alias("keep_party_id"), F.count("*").alias("group_size")).filter("group_size > 1")
     return rows.join(lowest, ["tenant_id", "reason", "evidence"]).filter("party_id <> keep_party_id").select(
         "tenant_id", "reason", "keep_party_id", F.col("party_id").alias("duplicate_party_id"), "group_size")

@@ -9,12 +9,35 @@ from pyspark.sql import functions as F
 
 from ..functions.canon import (abs_amount, canon_direction, canon_status, charges_code, credit_debit, frequency,
                                parse_yymmdd, yes_no)
-from ..sources.schemas import silver_schema
+from ..sources.schemas import raw_schema, silver_schema
 
 CARRIED = ["tenant_id", "channel", "_cdc_sequence_id", "_cdc_operation", "_cdc_timestamp", "_cdc_source_system",
            "_cdc_load_timestamp"]
 
 
+def declared(raw: DataFrame, rail: str) -> DataFrame:
+    """The feed with every declared column; those it does not deliver are NULL."""
+    return raw.withColumns({f.name: F.lit(None).cast(f.dataType) for f in raw_schema(rail) if f.name not in raw.columns})
+
+
+def name_token(name: str) -> Column:
+    """A party name as its digest, upper case and trimmed; blank names have none."""
+    plain = F.upper(F.trim(F.col(name)))
+    return F.when(plain != "", F.sha2(plain, 256))
+
+
+def iban_country(account: str, country: Column) -> Column:
+    """Country of an account number in IBAN form, else the stated one."""
+    return F.coalesce(F.when(F.col(account).rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), F.substring(account, 1, 2)), country)
+
+
+def fee_json(**fees: str) -> Column:
+    """Fees above zero as a JSON list of type and amount."""
+    items = F.array(*[F.when(F.col(c) > 0, F.struct(F.lit(kind).alias("type"), F.col(c).cast("decimal(18,4)").alias("amount"))) for kind, c in fees.items()])
+    some = F.filter(items, lambda x: x.isNotNull())
+    return F.when(F.size(some) > 0, F.to_json(some))
+
+
 def _silver(raw: DataFrame, **columns: Column) -> DataFrame:
     """Project onto the silver schema; columns a rail does not have are NULL."""
     usd = F.lit("USD")
@@ -60,7 +83,8 @@ def pack_rail_json(rail: str) -> Column:
             c("reference_for_beneficiary").alias("originator_to_beneficiary_information"),
             c("fedwire_business_function").alias("business_function_code"), c("purpose_code"),
             F.when(c("currency_code") != "USD", F.struct(
-                c("fx_rate").alias("exchange_rate"), c("currency_code").alias("original_currency_code"),
+                F.coalesce("fx_rate", F.try_divide(c("usd_equivalent_amount").cast("double"), c("amount").cast("double")).cast("decimal(18,8)")).alias("exchange_rate"),
+                c("currency_code").alias("original_currency_code"),
                 c("amount").alias("original_amount"))).alias("foreign_exchange"),
         ],
         "card": [
@@ -76,7 +100,8 @@ def pack_rail_json(rail: str) -> Column:
         ],
         "zelle": [
             F.lit("ZELLE").alias("rail_type"), c("zelle_network_ref").alias("zelle_reference_id"),
-            F.lit("SEND_MONEY").alias("transaction_subtype"), c("sender_token").alias("originator_proxy_token"),
+            F.when(c("transaction_type").isin("REQUEST", "REQUEST_MONEY"), "REQUEST_MONEY").when(c("transaction_type") == "REFUND", "REFUND")
+            .when(c("transaction_type").like("CANCEL%"), "CANCELLATION").otherwise("SEND_MONEY").alias("transaction_subtype"), c("sender_token").alias("originator_proxy_token"),
             c("sender_fi_id").alias("originator_fi_routing"), c("receiver_token").alias("beneficiary_proxy_token"),
             c("receiver_fi_id").alias("beneficiary_fi_routing"), c("memo"),
             F.when(c("is_enrolled_recipient"), "ENROLLED").otherwise("NOT_ENROLLED").alias("enrollment_status"),
@@ -91,7 +116,8 @@ def pack_rail_json(rail: str) -> Column:
             c("receiver_routing_number").alias("instructed_agent_routing"), c("remittance_info").alias("remittance_information"),
             F.when(c("return_reason_code").isNotNull(), F.struct(c("return_reason_code"))).alias("return_details"),
             F.when(c("rfp_expiry_timestamp").isNotNull(), F.struct(
-                c("network_reference_id").alias("rfp_id"), F.lit("OPEN").alias("rfp_status"),
+                c("network_reference_id").alias("rfp_id"), F.when(canon_status("status") == "SETTLED", "FULFILLED").when(c("status").isin("REJECTED", "CANCELLED", "EXPIRED"), c("status"))
+                .otherwise("OPEN").alias("rfp_status"),
                 F.date_format("rfp_expiry_timestamp", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("rfp_expiry_date"),
             )).alias("request_for_payment"),
         ],
@@ -135,7 +161,7 @@ def derive_fx(df: DataFrame) -> DataFrame:
 def normalize_ach(raw: DataFrame) -> DataFrame:
     c = F.col
     return _silver(
-        raw, source_transaction_id=c("ach_transaction_id"), payment_type=F.lit("ACH"), payment_rail=F.lit("NACHA"),
+        declared(raw, "ach"), source_transaction_id=c("ach_transaction_id"), payment_type=F.lit("ACH"), payment_rail=F.lit("NACHA"),
         payment_subtype=derive_subtype(F.lit("ACH"), credit_debit("transaction_type")),
         direction=canon_direction("direction"), amount=abs_amount("amount"), transaction_ts=c("created_timestamp"),
         effective_date=c("effective_entry_date"), settlement_date=c("settlement_date"),
@@ -143,6 +169,7 @@ def normalize_ach(raw: DataFrame) -> DataFrame:
         is_recurring=c("company_entry_description").eqNullSafe("AUTOPAY"),
         originator_account_token=c("originator_account_number"), originator_routing_number=c("originator_routing_number"),
         beneficiary_account_token=c("receiver_account_number"), beneficiary_routing_number=c("receiver_routing_number"),
+        originator_name_token=name_token("originator_name"), beneficiary_name_token=name_token("receiver_name"),
         rail_details_json=pack_rail_json("ach"))
 
 
@@ -150,7 +177,7 @@ def normalize_wire(raw: DataFrame) -> DataFrame:
     c = F.col
     foreign = c("currency_code") != "USD"
     return _silver(
-        raw, source_transaction_id=c("wire_transaction_id"), payment_type=F.lit("WIRE"),
+        declared(raw, "wire"), source_transaction_id=c("wire_transaction_id"), payment_type=F.lit("WIRE"),
         payment_rail=F.when(c("wire_type") == "DOMESTIC", "FEDWIRE").otherwise("SWIFT"),
         payment_subtype=derive_subtype(F.lit("WIRE"), c("wire_type")), direction=canon_direction("direction"),
         amount=abs_amount("amount"), currency_code=c("currency_code"),
@@ -160,6 +187,9 @@ def normalize_wire(raw: DataFrame) -> DataFrame:
         description=c("reference_for_beneficiary"),
         originator_account_token=c("sender_account_number"), originator_routing_number=c("sender_routing_number"),
         beneficiary_account_token=c("beneficiary_account_number"), beneficiary_routing_number=c("beneficiary_routing_number"),
+        originator_name_token=name_token("sender_name"), beneficiary_name_token=name_token("beneficiary_name"),
+        iban_country_code=iban_country("beneficiary_account_number", F.when(c("wire_type") != "DOMESTIC", c("beneficiary_country"))),
+        swift_bic=F.when(c("intermediary_fi_routing").rlike("^[A-Z]{6}[A-Z0-9]{2}([A-Z0-9]{3})?$"), c("intermediary_fi_routing")),
         rail_details_json=pack_rail_json("wire"))
 
 
@@ -169,7 +199,7 @@ def normalize_card(raw: DataFrame) -> DataFrame:
     fees = reduce(lambda a, b: a + b, [F.coalesce(c(f), F.lit(0).cast("decimal(18,4)")) for f in (
         "interchange_fee", "network_fee", "surcharge_amount")])
     return _silver(
-        raw, source_transaction_id=c("card_transaction_id"), payment_type=F.lit("CARD"), payment_rail=c("card_brand"),
+        declared(raw, "card"), source_transaction_id=c("card_transaction_id"), payment_type=F.lit("CARD"), payment_rail=c("card_brand"),
         payment_subtype=derive_subtype(F.lit("CARD"), c("card_type")),
         direction=F.when(c("transaction_type").isin("REFUND", "REVERSAL"), "INBOUND").otherwise("OUTBOUND"),
         amount=abs_amount("amount"), currency_code=c("currency_code"),
@@ -177,26 +207,30 @@ def normalize_card(raw: DataFrame) -> DataFrame:
         fee_amount=fees, transaction_ts=F.coalesce("auth_timestamp", "settlement_timestamp", "posted_timestamp"),
         settled_ts=c("settlement_timestamp"), settlement_date=F.to_date("settlement_timestamp"),
         is_recurring=F.coalesce("is_recurring", F.lit(False)) | (c("entry_mode") == "RECURRING"),
-        originator_account_token=c("card_number_token"), beneficiary_account_token=c("merchant_id"),
+        originator_account_token=c("card_number_token"), beneficiary_account_token=c("merchant_id"), originator_last4=c("card_last_four"),
+        originator_name_token=name_token("cardholder_name"), beneficiary_name_token=name_token("merchant_name"),
+        fee_breakdown_json=fee_json(INTERCHANGE="interchange_fee", NETWORK="network_fee", SURCHARGE="surcharge_amount"),
         rail_details_json=pack_rail_json("card"))
 
 
 def normalize_zelle(raw: DataFrame) -> DataFrame:
     c = F.col
     return _silver(
-        raw, source_transaction_id=c("zelle_transaction_id"), payment_type=F.lit("ZELLE"), payment_rail=F.lit("EWS"),
+        declared(raw, "zelle"), source_transaction_id=c("zelle_transaction_id"), payment_type=F.lit("ZELLE"), payment_rail=F.lit("EWS"),
         payment_subtype=derive_subtype(F.lit("ZELLE"), c("transaction_type")), direction=canon_direction("transaction_type"),
         amount=abs_amount("amount"), transaction_ts=c("initiated_timestamp"), settled_ts=c("completed_timestamp"),
         settlement_date=F.to_date("completed_timestamp"), description=c("memo"),
         originator_account_token=c("sender_account_token"), originator_routing_number=c("sender_fi_id"),
         beneficiary_account_token=c("receiver_account_token"), beneficiary_routing_number=c("receiver_fi_id"),
+        originator_proxy_token=c("sender_token"), beneficiary_proxy_token=c("receiver_token"),
+        originator_name_token=name_token("sender_name"), beneficiary_name_token=name_token("receiver_name"),
         rail_details_json=pack_rail_json("zelle"))
 
 
 def normalize_instant(raw: DataFrame) -> DataFrame:
     c = F.col
     return _silver(
-        raw, source_transaction_id=c("instant_payment_id"), payment_type=c("payment_rail"),
+        declared(raw, "rtp_fednow"), source_transaction_id=c("instant_payment_id"), payment_type=c("payment_rail"),
         payment_rail=F.when(c("payment_rail") == "RTP", "TCH_RTP").otherwise(c("payment_rail")),
         payment_subtype=derive_subtype(c("payment_rail"), c("transaction_type")), direction=canon_direction("direction"),
         amount=abs_amount("amount"), transaction_ts=c("initiated_timestamp"), acknowledged_ts=c("acceptance_timestamp"),
@@ -204,6 +238,7 @@ def normalize_instant(raw: DataFrame) -> DataFrame:
         return_reason_code=c("return_reason_code"), description=c("remittance_info"),
         originator_account_token=c("sender_account_token"), originator_routing_number=c("sender_routing_number"),
         beneficiary_account_token=c("receiver_account_token"), beneficiary_routing_number=c("receiver_routing_number"),
+        originator_name_token=name_token("sender_name"), beneficiary_name_token=name_token("receiver_name"), original_reference=c("rfp_original_ref"),
         rail_details_json=pack_rail_json("rtp_fednow"))
 
 
@@ -211,23 +246,25 @@ def normalize_check(raw: DataFrame) -> DataFrame:
     c = F.col
     rail = F.when(c("deposit_type") == "MOBILE_RDC", "RDC").otherwise("CHECK")
     return _silver(
-        raw, source_transaction_id=c("check_transaction_id"), payment_type=rail, payment_rail=F.lit("SVPCO"),
+        declared(raw, "check_rdc"), source_transaction_id=c("check_transaction_id"), payment_type=rail, payment_rail=F.lit("SVPCO"),
         payment_subtype=derive_subtype(rail, c("check_type")), direction=canon_direction("transaction_type"),
         amount=abs_amount("amount"), transaction_ts=c("deposit_timestamp"), settled_ts=c("cleared_timestamp"),
         settlement_date=F.to_date("cleared_timestamp"), return_reason_code=c("return_reason_code"),
         originator_account_token=c("payer_account_number"), originator_routing_number=c("payer_routing_number"),
-        beneficiary_account_token=c("payee_account_token"), rail_details_json=pack_rail_json("check_rdc"))
+        beneficiary_account_token=c("payee_account_token"), originator_name_token=name_token("payer_name"), beneficiary_name_token=name_token("payee_name"),
+        rail_details_json=pack_rail_json("check_rdc"))
 
 
 def normalize_billpay(raw: DataFrame) -> DataFrame:
     c = F.col
     return _silver(
-        raw, source_transaction_id=c("bill_pay_transaction_id"), payment_type=F.lit("BILLPAY"), payment_rail=F.lit("MIXED"),
+        declared(raw, "billpay"), source_transaction_id=c("bill_pay_transaction_id"), payment_type=F.lit("BILLPAY"), payment_rail=F.lit("MIXED"),
         payment_subtype=derive_subtype(F.lit("BILLPAY"), c("payment_type")), direction=F.lit("OUTBOUND"),
         amount=abs_amount("amount"), fee_amount=c("fee_amount"), transaction_ts=c("created_timestamp"),
         settlement_date=c("delivery_date"), status_reason_code=c("failure_reason"), is_recurring=c("is_recurring"),
         originator_account_token=F.coalesce("payer_account_token", "payer_card_token"),
-        beneficiary_account_token=c("biller_id"), rail_details_json=pack_rail_json("billpay"))
+        beneficiary_account_token=c("biller_id"), originator_name_token=name_token("payer_name"), beneficiary_name_token=name_token("biller_name"),
+        fee_breakdown_json=fee_json(SERVICE="fee_amount"), rail_details_json=pack_rail_json("billpay"))
 
 
 NORMALIZERS = {
@@ -347,7 +384,7 @@ def addenda(df: DataFrame) -> DataFrame:
 
 def regulatory_codes(df: DataFrame) -> DataFrame:
     return unpack_rail_json(df, "WIRE").select("transaction_id", F.explode_outer("rail.regulatory_reporting").alias("r")).select(
-        "transaction_id", "r.authority", "r.reporting_code")
+        "transaction_id", "r.authority", "r.reporting_code", "r.information")
 
 
 def fee_breakdown(df: DataFrame) -> DataFrame:
@@ -368,10 +405,16 @@ def compliance_summary(df: DataFrame) -> DataFrame:
 
 # --- metadata-driven mapping and protection -----------------------------------
 
-def apply_mapping(df: DataFrame, mapping: DataFrame) -> DataFrame:
+def pseudonym(value: Column, salt: str) -> Column:
+    """Stable token of a value; null stays null."""
+    return F.concat(F.lit("tok_"), F.sha2(F.concat(F.lit(salt), value.cast("string")), 256))
+
+
+def apply_mapping(df: DataFrame, mapping: DataFrame, salt: str | None = None) -> DataFrame:
     """Project by mapping rows ``(source_field, target_field, transformation_type, target_data_type, expression)``.
 
     A mapping has one row per target column, so it is read on the driver to build the plan.
+    ``TOKENIZE`` needs the ``salt`` that ``protect`` uses.
     """
     columns = []
     for row in mapping.orderBy("target_field").collect():
@@ -382,6 +425,10 @@ def apply_mapping(df: DataFrame, mapping: DataFrame) -> DataFrame:
             value = F.col(source)
         elif kind == "CONSTANT":
             value = F.lit(rule)
+        elif kind == "TOKENIZE":
+            if salt is None:
+                raise ValueError("TOKENIZE needs a salt")
+            value = pseudonym(F.col(source), salt)
         elif kind == "LOOKUP":  # rule: code=name;code=name
             pairs = [p.split("=") for p in rule.split(";")]
             value = F.coalesce(*[F.when(F.col(source) == code, name) for code, name in pairs], F.col(source))
@@ -400,7 +447,7 @@ def protect(df: DataFrame, rules: dict[str, str], salt: str) -> DataFrame:
         if rule == "HASH":
             return digest
         if rule == "TOKENIZE":
-            return F.concat(F.lit("tok_"), F.substring(digest, 1, 24))
+            return pseudonym(F.col(name), salt)
         if rule == "MASK":
             return F.concat(F.repeat(F.lit("*"), F.greatest(F.length(name) - 4, F.lit(0))), F.right(F.col(name), F.lit(4)))
         raise ValueError(f"unknown rule {rule}")

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.joins import left_lookup
+from ..functions.joins import left_lookup, spread_null
 
 RAIL_FLAGS = ("is_rtp_participant", "is_fednow_participant", "is_zelle_participant")
 
@@ -13,11 +13,14 @@ RAIL_FLAGS = ("is_rtp_participant", "is_fednow_participant", "is_zelle_participa
 def resolve_institution(txn: DataFrame, institutions: DataFrame) -> DataFrame:
     """Tenant and rail participation of both routings on the transaction date.
 
-    Validity periods of one routing number do not overlap, so rows never multiply.
-    The directory has one row per routing period; Spark broadcasts it by measured size
-    and falls back to a skew-split sort-merge join.
+    Where validity periods of a routing number overlap, the one that begins later ends the one
+    before it (of several that begin on one day the least tenant stays), so rows never multiply.
+    Spark broadcasts the directory by measured size and falls back to a skew-split sort-merge
+    join, in which rows without a routing number are spread.
     """
-    active = institutions.filter("is_active")
+    period = Window.partitionBy("routing_number").orderBy("effective_date")
+    active = institutions.filter("is_active").withColumn("_n", F.row_number().over(Window.partitionBy("routing_number", "effective_date").orderBy("tenant_id")))
+    active = active.filter("_n = 1").withColumn("expiry_date", F.least("expiry_date", F.date_sub(F.lead("effective_date").over(period), 1)))
     day = F.to_date("transaction_ts")
     for side in ("originator", "beneficiary"):
         look = active.select(
@@ -25,7 +28,7 @@ def resolve_institution(txn: DataFrame, institutions: DataFrame) -> DataFrame:
             F.col("tenant_id").alias(f"{side}_tenant_id"), *[F.col(f).alias(f"{side}_{f}") for f in RAIL_FLAGS])
         txn = txn.join(
             look,
-            (F.col(f"{side}_routing_number") == F.col("_routing")) & (day >= F.col("_from"))
+            (spread_null(f"{side}_routing_number", "transaction_id") == F.col("_routing")) & (day >= F.col("_from"))
             & (F.col("_to").isNull() | (day <= F.col("_to"))),
             "left").drop("_routing", "_from", "_to")
     return txn

@@ -17,9 +17,10 @@ from ..sources.schemas import CHANGE_ORDER
 EXCEPTION_STATUSES = ["FAILED", "RETURNED", "DECLINED", "REJECTED"]
 TERMINAL = [code for code, _, _, terminal in STATUS_CODES if terminal]
 
+# fixed values: columns of the joined fact
 FACT_COLUMNS = """
 transaction_id tenant_id payment_type payment_rail payment_subtype direction amount currency_code status transaction_ts
-settlement_date is_on_us on_us_settlement_type original_currency_code original_amount fx_rate fx_rate_source settlement_currency_code
+settlement_date is_on_us on_us_settlement_type iban_country_code swift_bic original_currency_code original_amount fx_rate fx_rate_source settlement_currency_code
 originator_account_token originator_routing_number originator_block_key originator_match_rule
 beneficiary_account_token beneficiary_routing_number beneficiary_block_key beneficiary_match_rule
 rail_schema_version rail_details_json compliance_json schema_version
@@ -126,13 +127,12 @@ def link_rfp(txn: DataFrame, days: int = 30, hot_rows: int = HOT_ROWS, slot_seco
 
 
 def link_billpay(txn: DataFrame, rails: tuple[str, ...] = ("ACH", "RTP", "FEDNOW", "CHECK")) -> DataFrame:
-    """Each bill payment with the transaction that moved its money."""
+    """Each bill payment with every transaction that moved its money, one per rail."""
     moved = _one_per(txn.filter(F.col("payment_type").isin(*rails)), {
         "tenant_id": "tenant_id", "original_reference": "source_transaction_id", "underlying_rail": "payment_type"}, "moved")
-    first = moved.groupBy("tenant_id", "original_reference").agg(F.min(F.struct("underlying_rail", "moved")).alias("m"))
-    return txn.filter(F.col("payment_type") == "BILLPAY").join(first, ["tenant_id", "original_reference"], "left").select(
-        "tenant_id", "transaction_id", "m.underlying_rail", F.col("m.moved.transaction_id").alias("underlying_transaction_id"),
-        (F.col("m.moved.amount") - F.col("amount")).alias("amount_gap"))
+    return txn.filter(F.col("payment_type") == "BILLPAY").join(moved, ["tenant_id", "original_reference"], "left").select(
+        "tenant_id", "transaction_id", "underlying_rail", F.col("moved.transaction_id").alias("underlying_transaction_id"),
+        (F.col("moved.amount") - F.col("amount")).alias("amount_gap"))
 
 
 def exceptions(txn: DataFrame) -> DataFrame:
@@ -148,9 +148,9 @@ def recent_rows(txn: DataFrame, as_of: dt.date, days: int = 90) -> DataFrame:
 
 
 def correspondents(addresses: DataFrame, txn: DataFrame) -> DataFrame:
-    """International wires by correspondent bank of the beneficiary."""
-    banks = addresses.filter(F.col("address_type") == "CORRESPONDENT").groupBy(F.col("party_id").alias("beneficiary_party_id")).agg(
-        F.min_by(F.struct("correspondent_bank_bic", "correspondent_bank_name"), "address_id").alias("bank"))
+    """International wires by correspondent bank of the beneficiary; with several banks a wire counts under each."""
+    banks = addresses.filter(F.col("address_type") == "CORRESPONDENT").select(
+        F.col("party_id").alias("beneficiary_party_id"), "correspondent_bank_bic", "correspondent_bank_name").distinct()
     wires = txn.filter((F.col("payment_type") == "WIRE") & (F.col("payment_rail") == "SWIFT"))
-    return wires.join(banks, "beneficiary_party_id").groupBy("bank.correspondent_bank_bic", "bank.correspondent_bank_name").agg(
+    return wires.join(banks, "beneficiary_party_id").groupBy("correspondent_bank_bic", "correspondent_bank_name").agg(
         F.count("*").alias("wire_count"), F.sum(settled()).alias("volume"), share(F.sum(settled()), F.count("*")).alias("average"))

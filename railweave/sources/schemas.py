@@ -98,13 +98,15 @@ transaction_id string, tenant_id string, source_system string, source_transactio
 payment_type string, payment_rail string, payment_subtype string, direction string, channel string,
 amount decimal(18,2), currency_code string, settlement_amount decimal(18,2), settlement_currency_code string,
 original_currency_code string, original_amount decimal(18,2), fx_rate decimal(18,8), fx_rate_source string,
-fee_amount decimal(18,4), transaction_ts timestamp, effective_date date, settlement_date date, submitted_ts timestamp,
+fee_amount decimal(18,4), fee_breakdown_json string, transaction_ts timestamp, effective_date date, settlement_date date, submitted_ts timestamp,
 acknowledged_ts timestamp, settled_ts timestamp, status string, status_reason_code string, return_reason_code string,
-description string, is_on_us boolean, on_us_settlement_type string, is_recurring boolean,
+description string, original_reference string, iban_country_code string, swift_bic string, is_on_us boolean, on_us_settlement_type string, is_recurring boolean,
 originator_party_id string, originator_account_id string, originator_account_token string, originator_routing_number string,
+originator_last4 string, originator_proxy_token string, originator_name_token string,
 originator_block_key string, originator_match_rule string, originator_resolution_status string,
 originator_resolution_confidence decimal(5,4),
 beneficiary_party_id string, beneficiary_account_id string, beneficiary_account_token string, beneficiary_routing_number string,
+beneficiary_last4 string, beneficiary_proxy_token string, beneficiary_name_token string,
 beneficiary_block_key string, beneficiary_match_rule string, beneficiary_resolution_status string,
 beneficiary_resolution_confidence decimal(5,4), identity_resolution_hook_ts timestamp,
 rail_schema_version string, rail_details_json string, dq_flags_json string, compliance_json string,

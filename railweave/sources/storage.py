@@ -108,6 +108,14 @@ def _drop_emptied(df: DataFrame, path: str, day: str, days: DataFrame) -> None:
             fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{day}={value}"), True)
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Has anything been stored there yet."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(root) and any(f.isDirectory() for f in fs.listStatus(root))
+
+
 def write_silver(df: DataFrame, path: str, days: DataFrame | None = None, period: str = "day") -> None:
     """Replace the partitions present in ``df``; with ``days``, also clear those now empty.
 

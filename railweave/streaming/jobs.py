@@ -17,7 +17,7 @@ from ..operators import cdc, identity
 from ..operators.quality import Rules, split_valid
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY
-from ..sources.storage import write_silver
+from ..sources.storage import has_files, write_silver
 
 PARTY = ["tenant_id", "originator_party_id"]
 
@@ -50,13 +50,7 @@ def start_cdc(spark: SparkSession, changes: DataFrame, silver: str, checkpoint:
     sequences itself, and merging a batch twice equals merging it once.
     """
     def upsert(batch: DataFrame, batch_id: int) -> None:
-        try:
-            exists = not spark.read.parquet(silver).isEmpty()
-        except Exception as err:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(err) and "UNABLE_TO_INFER_SCHEMA" not in str(err):
-                raise
-            exists = False
-        if exists:
+        if has_files(spark, silver):
             cdc.merge_cdc_incremental(spark, silver, batch, guard_deletes, period)
         else:
             first = cdc.latest_changes(batch).filter(F.col("_cdc_operation").isin(*cdc.UPSERT))

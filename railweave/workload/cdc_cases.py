@@ -84,15 +84,25 @@ def _(t):
     return side(before, "_t").join(side(after, "_s"), key).groupBy("tenant_id", cdc.is_newer().alias("newer")).agg(F.count("*").alias("n"))
 
 
-@case("merge_audit", "txn", f"""WITH t AS (SELECT * FROM ({newest('txn', SCENES['interleaved'][0])}) a WHERE _cdc_operation <> 'D'), s AS ({newest('txn', SCENES['interleaved'][1])}),
+def audit(guard: bool) -> str:
+    stale = "CASE WHEN newer THEN 'DELETE' ELSE 'STALE_DELETE' END" if guard else "'DELETE'"
+    return f"""WITH t AS (SELECT * FROM ({newest('txn', SCENES['interleaved'][0])}) a WHERE _cdc_operation <> 'D'), s AS ({newest('txn', SCENES['interleaved'][1])}),
 j AS (SELECT coalesce(t.tenant_id, s.tenant_id) AS tenant_id, t.tenant_id IS NOT NULL AS here, s._cdc_operation AS op,
   s._cdc_timestamp > t._cdc_timestamp OR (s._cdc_timestamp = t._cdc_timestamp AND s._cdc_sequence_id > t._cdc_sequence_id) AS newer FROM t FULL OUTER JOIN s ON {MATCHED})
-SELECT tenant_id, CASE WHEN op IS NULL THEN 'KEEP' WHEN here AND op = 'D' THEN CASE WHEN newer THEN 'DELETE' ELSE 'STALE_DELETE' END
-  WHEN here THEN CASE WHEN newer THEN 'UPDATE' ELSE 'STALE' END WHEN op = 'D' THEN 'IGNORED_DELETE' ELSE 'INSERT' END AS action, count(*) AS key_count FROM j GROUP BY 1, 2""")
+SELECT tenant_id, CASE WHEN op IS NULL THEN 'KEEP' WHEN here AND op = 'D' THEN {stale}
+  WHEN here THEN CASE WHEN newer THEN 'UPDATE' ELSE 'STALE' END WHEN op = 'D' THEN 'IGNORED_DELETE' ELSE 'INSERT' END AS action, count(*) AS key_count FROM j GROUP BY 1, 2"""
+
+
+@case("merge_audit", "txn", audit(False))
 def _(t):
     return cdc.merge_audit(*sides(t, "interleaved"))
 
 
+@case("merge_audit_guarded", "txn", audit(True))
+def _(t):
+    return cdc.merge_audit(*sides(t, "interleaved"), guard_deletes=True)
+
+
 @case("merge_cdc_incremental", "txn", f"WITH {merged('interleaved')} SELECT {SHOWN} FROM m")
 def _(t):
     path = scratch_path(t.spark, "merge")

@@ -58,15 +58,15 @@ def _(t):
 @case("ubo_closure", "party_relationship", """WITH RECURSIVE e AS (
   SELECT party_id_b AS o, party_id_a AS n, CAST(ownership_percentage AS DOUBLE) / 100 AS s FROM party_relationship WHERE relationship_type = 'BENEFICIAL_OWNER' AND ownership_percentage IS NOT NULL),
 p AS (SELECT o, n, s, 1 AS d, [o, n] AS path FROM e WHERE o <> n
-  UNION ALL SELECT p.o, e.n, p.s * e.s, d + 1, list_append(path, e.n) FROM p JOIN e ON e.o = p.n WHERE NOT list_contains(path, e.n) AND d < 10)
+  UNION ALL SELECT p.o, e.n, p.s * e.s, d + 1, list_append(path, e.n) FROM p JOIN e ON e.o = p.n WHERE NOT list_contains(path, e.n))
 SELECT o AS owner, n AS entity, sum(s) AS effective_share, min(d) AS min_depth, count(*) AS path_count FROM p GROUP BY 1, 2""")
 def _(t):
     return graph.ubo_closure(t.party_relationship)
 
 
-@case("hierarchy", "party_relationship", """WITH RECURSIVE u AS (SELECT party_id_b AS c, min(party_id_a) AS p FROM party_relationship WHERE relationship_type = 'PARENT_SUBSIDIARY' GROUP BY 1),
-w AS (SELECT c, p, 1 AS d FROM u UNION ALL SELECT w.c, u.p, d + 1 FROM w JOIN u ON u.c = w.p WHERE d < 60)
-SELECT c AS party_id, arg_max(p, d) AS root_party_id, CAST(max(d) AS INTEGER) AS depth FROM w GROUP BY 1""")
+@case("hierarchy", "party_relationship", """WITH RECURSIVE u AS (SELECT DISTINCT party_id_b AS c, party_id_a AS p FROM party_relationship WHERE relationship_type = 'PARENT_SUBSIDIARY'),
+w AS (SELECT c, p, 1 AS d, [c, p] AS path FROM u UNION ALL SELECT w.c, u.p, d + 1, list_append(path, u.p) FROM w JOIN u ON u.c = w.p WHERE NOT list_contains(path, u.p))
+SELECT c AS party_id, p AS root_party_id, CAST(min(d) AS INTEGER) AS depth FROM w WHERE p NOT IN (SELECT c FROM u) GROUP BY 1, 2""")
 def _(t):
     return graph.hierarchy(t.party_relationship)
 
@@ -83,7 +83,7 @@ EDGES = f"""e AS (SELECT originator_party_id AS source, beneficiary_party_id AS
   WHERE originator_party_id IS NOT NULL AND beneficiary_party_id IS NOT NULL GROUP BY 1, 2, 3)"""
 
 
-@case("graph_edges", "txn party_relationship", f"""WITH {EDGES}, r AS (SELECT least(party_id_a, party_id_b) AS lo, greatest(party_id_a, party_id_b) AS hi, min(relationship_type) AS relationship FROM party_relationship GROUP BY 1, 2)
+@case("graph_edges", "txn party_relationship", f"""WITH {EDGES}, r AS (SELECT least(party_id_a, party_id_b) AS lo, greatest(party_id_a, party_id_b) AS hi, string_agg(DISTINCT relationship_type, ',' ORDER BY relationship_type) AS relationship FROM party_relationship GROUP BY 1, 2)
 SELECT source, target, payment_type, txn_count, CAST(v AS DOUBLE) AS volume, relationship FROM e LEFT JOIN r ON lo = least(source, target) AND hi = greatest(source, target)""")
 def _(t):
     return graph.graph_edges(t.txn, t.party_relationship)
@@ -148,10 +148,9 @@ def _(t):
     return views.link_rfp(t.txn, days=400, hot_rows=1, slot_seconds=100 * 86_400)
 
 
-@case("link_billpay", "txn", f"""WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, payment_type, source_transaction_id {NEWEST}) AS rn FROM txn WHERE payment_type IN ('ACH', 'RTP', 'FEDNOW', 'CHECK')) z WHERE rn = 1),
-f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, source_transaction_id ORDER BY payment_type) AS r2 FROM o) z WHERE r2 = 1)
+@case("link_billpay", "txn", f"""WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, payment_type, source_transaction_id {NEWEST}) AS rn FROM txn WHERE payment_type IN ('ACH', 'RTP', 'FEDNOW', 'CHECK')) f WHERE rn = 1)
 SELECT b.tenant_id, b.transaction_id, f.payment_type AS underlying_rail, f.transaction_id AS underlying_transaction_id, CAST(f.amount - b.amount AS DOUBLE) AS amount_gap
-FROM txn b LEFT JOIN f ON f.tenant_id = b.tenant_id AND f.source_transaction_id = b.original_reference WHERE b.payment_type = 'BILLPAY'""")
+FROM txn b LEFT JOIN o AS f ON f.tenant_id = b.tenant_id AND f.source_transaction_id = b.original_reference WHERE b.payment_type = 'BILLPAY'""")
 def _(t):
     return views.link_billpay(t.txn)
 
@@ -180,6 +179,6 @@ def _(t):
 
 @case("correspondents", "txn party_address", f"""
 SELECT a.correspondent_bank_bic, a.correspondent_bank_name, count(*) AS wire_count, CAST(sum({S}) AS DOUBLE) AS volume, CAST(sum({S}) AS DOUBLE) / count(*) AS average
-FROM txn t JOIN party_address a ON a.party_id = t.beneficiary_party_id AND a.address_type = 'CORRESPONDENT' WHERE t.payment_type = 'WIRE' AND t.payment_rail = 'SWIFT' GROUP BY 1, 2""")
+FROM txn t JOIN (SELECT DISTINCT party_id, correspondent_bank_bic, correspondent_bank_name FROM party_address WHERE address_type = 'CORRESPONDENT') a ON a.party_id = t.beneficiary_party_id WHERE t.payment_type = 'WIRE' AND t.payment_rail = 'SWIFT' GROUP BY 1, 2""")
 def _(t):
     return views.correspondents(t.party_address, t.txn)

@@ -175,7 +175,7 @@ ALL_RAW = " ".join(f"raw_{r}" for r in RULES)
 UNION = " UNION ALL ".join(rail_select(r) for r in RULES)
 
 
-def _union(t):
+def union_all(t):
     return nrm.union_rails(*[fn(getattr(t, f"raw_{rail}")) for rail, fn in nrm.NORMALIZERS.items()])
 
 
@@ -183,7 +183,7 @@ def _union(t):
 SELECT payment_type, direction, status, count(*) AS n, CAST(sum(CAST(amount AS DECIMAL(18,2))) AS DOUBLE) AS amount,
   CAST(sum(CAST(settlement_amount AS DECIMAL(18,2))) AS DOUBLE) AS settled FROM ({UNION}) u GROUP BY 1, 2, 3""")
 def _(t):
-    return _union(t).groupBy("payment_type", "direction", "status").agg(
+    return union_all(t).groupBy("payment_type", "direction", "status").agg(
         F.count("*").alias("n"), F.sum("amount").alias("amount"), F.sum("settlement_amount").alias("settled"))
 
 
@@ -206,7 +206,7 @@ SELECT tenant_id, CAST(day AS VARCHAR) AS period_date, payment_type,
   count(*) FILTER (us) AS on_us_count, CAST(sum(CASE WHEN us THEN CAST(amount AS DECIMAL(18,2)) ELSE 0 END) AS DOUBLE) AS on_us_amount
 FROM x GROUP BY 1, 2, 3""")
 def _(t):
-    return gold.gold_cross_rail(onus.derive_on_us(_union(t), t.on_us_institutions))
+    return gold.gold_cross_rail(onus.derive_on_us(union_all(t), t.on_us_institutions))
 
 
 FEED = ["canon_direction", "canon_status", "parse_yymmdd", "abs_amount", "canon_flags"]
@@ -323,7 +323,7 @@ def _(t):
 
 @case("regulatory_codes", "txn", """WITH a AS (
   SELECT transaction_id, unnest(CAST(coalesce(json_extract(rail_details_json, '$.regulatory_reporting'), '[null]') AS JSON[])) AS r FROM txn WHERE payment_type = 'WIRE')
-SELECT transaction_id, r ->> '$.authority' AS authority, r ->> '$.reporting_code' AS reporting_code FROM a""")
+SELECT transaction_id, r ->> '$.authority' AS authority, r ->> '$.reporting_code' AS reporting_code, r ->> '$.information' AS information FROM a""")
 def _(t):
     return nrm.regulatory_codes(t.txn)
 
@@ -355,6 +355,7 @@ MAPPING = [
     (None, "schema_version", "CONSTANT", "string", "v4"),
     ("trace_num", "trace_number", "CAST", "bigint", None),
     ("orig_acct_num", "ignored", "IGNORE", "string", None),
+    ("orig_acct_num", "originator_account_token", "TOKENIZE", "string", None),
 ]
 
 
@@ -362,15 +363,16 @@ MAPPING = [
 SELECT txn_id AS source_transaction_id, tenant_fi_id AS tenant_id, CAST(abs(txn_amt) AS DOUBLE) AS amount,
   CAST(CAST(TRY_STRPTIME('20' || eff_dt, '%Y%m%d') AS DATE) AS VARCHAR) AS effective_date,
   CASE txn_status WHEN '00' THEN 'SETTLED' WHEN '01' THEN 'PENDING' ELSE txn_status END AS status, CASE txn_type WHEN 'CR' THEN 'CREDIT' ELSE 'DEBIT' END AS transaction_type,
-  concat_ws('>', odfi_routing, rdfi_routing) AS routing_pair, 'v4' AS schema_version, CAST(trace_num AS BIGINT) AS trace_number FROM source_feed""")
+  concat_ws('>', odfi_routing, rdfi_routing) AS routing_pair, 'v4' AS schema_version, CAST(trace_num AS BIGINT) AS trace_number,
+  'tok_' || sha256('pepper' || orig_acct_num) AS originator_account_token FROM source_feed""")
 def _(t):
     mapping = t.spark.createDataFrame(
         MAPPING, "source_field string, target_field string, transformation_type string, target_data_type string, expression string")
-    return nrm.apply_mapping(t.source_feed, mapping)
+    return nrm.apply_mapping(t.source_feed, mapping, salt="pepper")
 
 
 @case("protect", "source_feed", """
-SELECT txn_id, 'tok_' || substring(sha256('pepper' || orig_acct_num), 1, 24) AS orig_acct_num, sha256('pepper' || odfi_routing) AS odfi_routing,
+SELECT txn_id, 'tok_' || sha256('pepper' || orig_acct_num) AS orig_acct_num, sha256('pepper' || odfi_routing) AS odfi_routing,
   repeat('*', length(trace_num) - 4) || right(trace_num, 4) AS trace_num FROM source_feed""")
 def _(t):
     rules = {"orig_acct_num": "TOKENIZE", "odfi_routing": "HASH", "trace_num": "MASK"}
@@ -379,7 +381,7 @@ def _(t):
 
 @case("derive_subtype", ALL_RAW, f"SELECT payment_type, payment_subtype, count(*) AS n FROM ({UNION}) u GROUP BY 1, 2")
 def _(t):
-    return _union(t).groupBy("payment_type", "payment_subtype").agg(F.count("*").alias("n"))
+    return union_all(t).groupBy("payment_type", "payment_subtype").agg(F.count("*").alias("n"))
 
 
 # --- on-us --------------------------------------------------------------------
