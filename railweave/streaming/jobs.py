@@ -6,11 +6,14 @@ query whose sink is idempotent per batch, so a replayed batch changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime as dt
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.money import is_inflow, is_outflow, sum_if
 from ..operators import cdc, identity
@@ -86,30 +89,62 @@ def stream_sessions(sdf: DataFrame, gap: str = "30 minutes", delay: str = "1 day
 
 
 REQUEST = ["tenant_id", "payment_type", "request_key"]
+PAIRED = ("tenant_id string, payment_type string, request_key string, request_id string, requested_ts timestamp, expiry_ts timestamp, "
+          "answer_id string, answered_ts timestamp")
+OPEN = "requests array<struct<id:string, asked:timestamp, expiry:timestamp, answered:boolean>>, answers array<struct<id:string, at:timestamp>>"
+
+
+def _settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """Pair one request key: what waits is open requests and answers that may still meet one."""
+    requests, answers = ([list(r) for r in part] for part in state.get) if state.exists else ([], [])
+    old_requests, old_answers, out = len(requests), len(answers), []
+    for batch in batches:
+        for row in batch.itertuples(index=False):
+            if row.answer_id is None:
+                requests.append([row.request_id, row.ts.to_pydatetime(), row.expiry_ts.to_pydatetime(), False])
+            else:
+                answers.append([row.answer_id, row.ts.to_pydatetime()])
+    for i, request in enumerate(requests):
+        for j, (answer, at) in enumerate(answers):
+            if (i >= old_requests or j >= old_answers) and request[1] <= at <= request[2]:
+                out.append((*key, *request[:3], answer, at))
+                request[3] = True
+    now = dt.datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, dt.timezone.utc).replace(tzinfo=None)
+    out += [(*key, *r[:3], None, None) for r in requests if r[2] < now and not r[3]]
+    requests = [tuple(r) for r in requests if r[2] >= now]
+    answers = [tuple(a) for a in answers if a[1] >= now]  # a request yet to come is later than these
+    if requests or answers:
+        state.update((requests, answers))
+        wake = min([r[2] for r in requests] + [a[1] for a in answers])
+        wake_ms = int(wake.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) + 1
+        state.setTimeoutTimestamp(max(wake_ms, state.getCurrentWatermarkMs() + 1))
+    elif state.exists:
+        state.remove()
+    if out:
+        yield pd.DataFrame(out, columns=[f.split()[0] for f in PAIRED.split(", ")])
+
+
+def _pair(requests: DataFrame, responses: DataFrame, delay: str) -> DataFrame:
+    """Requests with each answer up to their own expiry, and without answer once that has passed.
+
+    The bound is the expiry of each request, so state is held per request key and leaves when
+    the watermark passes the expiry; timestamps are in UTC.
+    """
+    none = lambda kind: F.lit(None).cast(kind)
+    asked = requests.select(*REQUEST, F.col("requested_ts").alias("ts"), "request_id", "expiry_ts", none("string").alias("answer_id"))
+    answered = responses.select(*REQUEST, F.col("answered_ts").alias("ts"), none("string").alias("request_id"), none("timestamp").alias("expiry_ts"), "answer_id")
+    events = asked.unionByName(answered).withWatermark("ts", delay)
+    return events.groupBy(*REQUEST).applyInPandasWithState(_settle, PAIRED, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def _pair(requests: DataFrame, responses: DataFrame, how: str, max_hours: int, delay: str) -> DataFrame:
-    req = requests.withWatermark("requested_ts", delay).alias("q")
-    ans = responses.withWatermark("answered_ts", delay).alias("a")
-    same = F.lit(True)
-    for key in REQUEST:
-        same = same & (F.col(f"q.{key}") == F.col(f"a.{key}"))
-    in_time = F.expr(f"a.answered_ts >= q.requested_ts AND a.answered_ts <= q.requested_ts + INTERVAL {max_hours} HOURS")
-    joined = req.join(ans, same & in_time & F.expr("a.answered_ts <= q.expiry_ts"), how)
-    return joined.select(*[F.col(f"q.{k}") for k in REQUEST], "q.request_id", "q.requested_ts", "q.expiry_ts", "a.answer_id", "a.answered_ts")
-
-
-def stream_rfp(requests: DataFrame, responses: DataFrame, max_hours: int = 72, delay: str = "1 day") -> DataFrame:
-    """Requests for payment with the answers that came before expiry; both inputs deduplicated.
-
-    The time bound lets Spark drop requests that can no longer be answered.
-    """
-    return _pair(requests, responses, "inner", max_hours, delay)
+def stream_rfp(requests: DataFrame, responses: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Requests for payment with the answers that came before expiry; both inputs deduplicated."""
+    return _pair(requests, responses, delay).filter("answer_id is not null")
 
 
-def stream_expiry(requests: DataFrame, responses: DataFrame, max_hours: int = 72, delay: str = "1 day") -> DataFrame:
-    """Requests that ran out unanswered, emitted when the watermark passes their last moment."""
-    return _pair(requests, responses, "left_outer", max_hours, delay).filter("answer_id is null").select(
+def stream_expiry(requests: DataFrame, responses: DataFrame, delay: str = "1 day") -> DataFrame:
+    """Requests that ran out unanswered, emitted when the watermark passes their expiry."""
+    return _pair(requests, responses, delay).filter("answer_id is null").select(
         *REQUEST, "request_id", "requested_ts", "expiry_ts", F.lit("EXPIRED").alias("status"))
 
 
