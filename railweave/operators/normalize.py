@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.canon import (abs_amount, canon_direction, canon_status, charges_code, credit_debit, frequency,
                                parse_yymmdd, yes_no)
 from ..sources.schemas import raw_schema, silver_schema
+from .contracts import V2, Field
 
 CARRIED = ["tenant_id", "channel", "_cdc_sequence_id", "_cdc_operation", "_cdc_timestamp", "_cdc_source_system",
            "_cdc_load_timestamp"]
@@ -319,25 +320,26 @@ def wire_charges(df: DataFrame) -> DataFrame:
 
 # --- typed access to rail JSON ------------------------------------------------
 
-# fixed values: fields of the v2 contract in daily use
-RAIL_STRUCTS = {
-    "ACH": "entry_class_code string, transaction_type string, trace_number string, company_entry_description string, same_day_flag boolean, "
-           "addenda_records array<struct<sequence_number:int, addenda_type_code:string, payment_related_information:string>>, "
-           "return_details struct<return_reason_code:string, return_date:string, original_trace_number:string>",
-    "WIRE": "wire_subtype string, imad string, omad string, charges_borne_by string, originator_to_beneficiary_information string, "
-            "foreign_exchange struct<exchange_rate:decimal(18,8), original_currency_code:string, original_amount:decimal(18,2)>, "
-            "regulatory_reporting array<struct<authority:string, reporting_code:string, information:string>>",
-    "CARD": "card_type string, card_brand string, transaction_subtype string, merchant_category_code string, card_entry_mode string, "
-            "card_present boolean, issuer_response_code string, chargeback_details struct<chargeback_reason_code:string, dispute_status:string>",
-    "ZELLE": "zelle_reference_id string, transaction_subtype string, memo string, enrollment_status string, payment_expiry_date string",
-    "RTP": "transaction_subtype string, rtp_transaction_id string, return_details struct<return_reason_code:string>, "
-           "request_for_payment struct<rfp_id:string, rfp_status:string, rfp_expiry_date:string>",
-    "FEDNOW": "transaction_subtype string, fednow_transaction_id string, purpose_code string",
-    "CHECK": "check_subtype string, check_number string, memo_line string",
-    "RDC": "check_subtype string, check_number string, memo_line string, rdc_details struct<image_quality_score:int, iqv_result:string>",
-    "BILLPAY": "bill_pay_reference string, biller_id string, delivery_method string, biller_category string, memo string, "
-               "recurring_details struct<is_recurring:boolean, frequency:string>",
+# fixed values: items of the lists in the second contract, and numbers that are not plain decimals
+LIST_ITEMS = {
+    "addenda_records": "struct<sequence_number:int, addenda_type_code:string, payment_related_information:string>",
+    "regulatory_reporting": "struct<authority:string, reporting_code:string, information:string>",
+    "exception_codes": "string",
 }
+SCALES = {"exchange_rate": "decimal(18,8)", "interchange_fee": "decimal(18,4)"}
+PLAIN = {"string": "string", "boolean": "boolean", "integer": "int"}
+
+
+def _type(name: str, field: Field) -> str:
+    if field.kind == "object":
+        return "struct<" + ", ".join(f"{n}:{_type(n, f)}" for n, f in field.parts.items()) + ">"
+    if field.kind == "array":
+        return f"array<{LIST_ITEMS[name]}>"
+    return PLAIN.get(field.kind) or SCALES.get(name, "decimal(18,2)")
+
+
+# every field of the second contract, by rail
+RAIL_STRUCTS = {rail: ", ".join(f"{n} {_type(n, f)}" for n, f in fields.items()) for rail, (_, fields) in V2.items()}
 
 
 def unpack_rail_json(df: DataFrame, rail: str) -> DataFrame:
@@ -346,28 +348,47 @@ def unpack_rail_json(df: DataFrame, rail: str) -> DataFrame:
 
 
 def upgrade_rail_json(df: DataFrame) -> DataFrame:
-    """First contract (payload nested under ``fields``) to the flat second one."""
-    def old(name: str) -> Column:
-        return F.get_json_object("rail_details_json", "$.fields." + name)
+    """First contract (payload nested under ``fields``) to the flat second one.
+
+    Every field is carried: renamed where the second contract has a place for it, else kept as
+    it was under ``v1_fields``.
+    """
+    def old(name: str, kind: str = "string") -> Column:
+        return F.get_json_object("rail_details_json", "$.fields." + name).cast(kind)
+
+    def same(*names: str) -> list[Column]:
+        return [old(n).alias(n) for n in names]
+
+    def rest(*names: str) -> Column:
+        present = reduce(lambda a, b: a | b, [old(n).isNotNull() for n in names])
+        return F.when(present, F.struct(*same(*names))).alias("v1_fields")
+
+    def head(rail: str) -> list[Column]:
+        return [F.lit("v2").alias("rail_schema_version"), F.lit(rail).alias("rail_type")]
 
-    v2 = F.lit("v2").alias("rail_schema_version")
+    note = old("addenda_information")
     ach = F.to_json(F.struct(
-        v2, F.lit("ACH").alias("rail_type"), old("entry_class_code").alias("entry_class_code"),
-        credit_debit(old("transaction_type")).alias("transaction_type"), old("trace_number").alias("trace_number"),
-        old("same_day_flag").cast("boolean").alias("same_day_flag"), old("company_entry_description").alias("company_entry_description")))
+        *head("ACH"), *same("entry_class_code", "trace_number", "batch_number", "file_id", "company_entry_description"),
+        credit_debit(old("transaction_type")).alias("transaction_type"), old("same_day_flag", "boolean").alias("same_day_flag"),
+        old("addenda_record_indicator", "boolean").alias("addenda_record_indicator"),
+        F.when(note.isNotNull(), F.array(F.struct(F.lit(1).alias("sequence_number"), note.alias("payment_related_information")))).alias("addenda_records"),
+        F.when(old("return_reason_code").isNotNull() | old("return_date").isNotNull(), F.struct(*same("return_reason_code", "return_date"))).alias("return_details"),
+        F.when(old("noc_code").isNotNull(), F.struct(old("noc_code").alias("noc_code"))).alias("noc_details"), rest("transaction_code")))
     kind, mode = old("transaction_type"), old("card_entry_mode")
     card = F.to_json(F.struct(
-        v2, F.lit("CARD").alias("rail_type"), old("card_type").alias("card_type"), old("card_brand").alias("card_brand"),
+        *head("CARD"), *same("card_type", "card_brand", "merchant_category_code", "merchant_id", "merchant_name", "authorization_code", "terminal_id"),
         F.when(kind == "SETTLEMENT", "CAPTURE").otherwise(kind).alias("transaction_subtype"),
         F.when(mode == "MANUAL", "MANUAL_KEY").when(mode == "ECOM", "ECOMMERCE").otherwise(mode).alias("card_entry_mode"),
-        old("merchant_category_code").alias("merchant_category_code")))
+        old("card_present", "boolean").alias("card_present"), old("network_reference_id").alias("network_transaction_id"), rest("cvv_present")))
     paid = old("charges")
     wire = F.to_json(F.struct(
-        v2, F.lit("WIRE").alias("rail_type"),
-        F.when(old("wire_type") == "DOMESTIC", "FEDWIRE_DOMESTIC").otherwise("SWIFT_INTERNATIONAL").alias("wire_subtype"),
-        F.lit(None).cast("string").alias("imad"),
-        F.when(paid == "OUR", "SENDER").when(paid == "BEN", "RECEIVER").when(paid == "SHA", "SHARED").alias("charges_borne_by")),
-        {"ignoreNullFields": "false"})
+        *head("WIRE"), F.when(old("wire_type") == "DOMESTIC", "FEDWIRE_DOMESTIC").otherwise("SWIFT_INTERNATIONAL").alias("wire_subtype"),
+        F.lit(None).cast("string").alias("imad"), old("wire_reference_number").alias("fed_reference_number"),
+        F.when(paid == "OUR", "SENDER").when(paid == "BEN", "RECEIVER").when(paid == "SHA", "SHARED").alias("charges_borne_by"),
+        old("beneficiary_bank_name").alias("beneficiary_fi_name"), old("beneficiary_bank_routing_number").alias("beneficiary_fi_routing"),
+        old("swift_bic").alias("beneficiary_fi_swift_bic"), old("intermediary_bank_name").alias("intermediary_fi_name"),
+        old("intermediary_bank_routing_number").alias("intermediary_fi_routing"), old("payment_instruction").alias("originator_to_beneficiary_information"),
+        rest("sender_reference", "beneficiary_reference", "beneficiary_country")), {"ignoreNullFields": "false"})
     upgraded = F.when(F.col("payment_type") == "ACH", ach).when(F.col("payment_type") == "CARD", card).when(
         F.col("payment_type") == "WIRE", wire)
     old_row = F.col("rail_schema_version") == "v1"

@@ -398,11 +398,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey
 TABLES["rail_v1"] = """
 SELECT row_hash AS transaction_id, rail AS payment_type, 'v1' AS rail_schema_version,
   CASE rail WHEN 'ACH' THEN '{"rail_schema_version":"v1","rail_type":"ACH","fields":{"trace_number":"' || CASE WHEN l_partkey % 50 = 0 THEN 'BAD' ELSE lpad(CAST(l_orderkey AS STRING), 15, '0') END
-      || '","entry_class_code":"PPD","transaction_type":"' || CASE l_suppkey % 4 WHEN 0 THEN 'CR' WHEN 1 THEN 'DR' WHEN 2 THEN 'Credit' ELSE 'Debit' END || '","same_day_flag":true}}'
+      || '","entry_class_code":"PPD","transaction_type":"' || CASE l_suppkey % 4 WHEN 0 THEN 'CR' WHEN 1 THEN 'DR' WHEN 2 THEN 'Credit' ELSE 'Debit' END
+      || '","transaction_code":"27","batch_number":"B' || (l_suppkey % 7) || '","file_id":"F1","addenda_record_indicator":false,"noc_code":"C01","return_reason_code":"R0' || (l_partkey % 9) || '","return_date":"2001-01-02","addenda_information":"note ' || (l_suppkey % 5) || '","same_day_flag":true}}'
     WHEN 'CARD' THEN '{"rail_schema_version":"v1","rail_type":"CARD","fields":{"card_type":"DEBIT","card_brand":"VISA","transaction_type":"' || CASE l_suppkey % 3 WHEN 0 THEN 'SETTLEMENT' WHEN 1 THEN 'REFUND' ELSE 'CAPTURE' END
-      || '","merchant_category_code":"' || (5400 + l_partkey % 12) || '","card_entry_mode":"' || CASE l_suppkey % 3 WHEN 0 THEN 'MANUAL' WHEN 1 THEN 'ECOM' ELSE 'CHIP' END || '"}}'
+      || '","merchant_category_code":"' || (5400 + l_partkey % 12) || '","card_entry_mode":"' || CASE l_suppkey % 3 WHEN 0 THEN 'MANUAL' WHEN 1 THEN 'ECOM' ELSE 'CHIP' END
+      || '","merchant_id":"M' || l_suppkey || '","authorization_code":"A1","terminal_id":"T' || (l_suppkey % 9) || '","network_reference_id":"N' || l_orderkey || '","card_present":true,"cvv_present":false}}'
     ELSE '{"rail_schema_version":"v1","rail_type":"WIRE","fields":{"wire_reference_number":"W' || l_orderkey || '","wire_type":"' || CASE WHEN ccy = 'USD' THEN 'DOMESTIC' ELSE 'INTERNATIONAL' END
-      || '","charges":"' || CASE l_suppkey % 3 WHEN 0 THEN 'OUR' WHEN 1 THEN 'SHA' ELSE 'BEN' END || '"' || CASE WHEN l_partkey % 60 = 1 THEN ',"odd":"x"' ELSE '' END || '}}' END AS rail_details_json
+      || '","charges":"' || CASE l_suppkey % 3 WHEN 0 THEN 'OUR' WHEN 1 THEN 'SHA' ELSE 'BEN' END
+      || '","beneficiary_bank_name":"Bank ' || (l_suppkey % 6) || '","sender_reference":"S' || l_orderkey || '","beneficiary_country":"DE","payment_instruction":"pay ' || (l_partkey % 8) || '"' || CASE WHEN l_partkey % 60 = 1 THEN ',"odd":"x"' ELSE '' END || '}}' END AS rail_details_json
 FROM base WHERE rail IN ('ACH', 'CARD', 'WIRE')
 """
 TABLES["source_feed"] = """

@@ -302,7 +302,10 @@ SELECT transaction_id, payment_type, 'v2' AS version,
     ELSE CASE json_extract_string(f, '$.wire_type') WHEN 'DOMESTIC' THEN 'FEDWIRE_DOMESTIC' ELSE 'SWIFT_INTERNATIONAL' END END AS kind,
   CASE payment_type WHEN 'CARD' THEN CASE json_extract_string(f, '$.card_entry_mode') WHEN 'MANUAL' THEN 'MANUAL_KEY' WHEN 'ECOM' THEN 'ECOMMERCE' ELSE 'CHIP' END
     WHEN 'WIRE' THEN CASE json_extract_string(f, '$.charges') WHEN 'OUR' THEN 'SENDER' WHEN 'BEN' THEN 'RECEIVER' ELSE 'SHARED' END END AS mode,
-  payment_type = 'WIRE' AS has_imad FROM o""")
+  payment_type = 'WIRE' AS has_imad,
+  CASE payment_type WHEN 'ACH' THEN concat_ws('|', f ->> '$.batch_number', f ->> '$.file_id', f ->> '$.addenda_information', f ->> '$.return_reason_code', f ->> '$.return_date', f ->> '$.noc_code', f ->> '$.transaction_code', f ->> '$.trace_number')
+    WHEN 'CARD' THEN concat_ws('|', f ->> '$.merchant_id', f ->> '$.authorization_code', f ->> '$.terminal_id', f ->> '$.network_reference_id', f ->> '$.card_present', f ->> '$.cvv_present')
+    ELSE concat_ws('|', f ->> '$.wire_reference_number', f ->> '$.beneficiary_bank_name', f ->> '$.payment_instruction', f ->> '$.sender_reference', f ->> '$.beneficiary_country') END AS carried FROM o""")
 def _(t):
     get = lambda p: F.get_json_object("rail_details_json", f"$.{p}")
     return nrm.upgrade_rail_json(t.rail_v1).select(
@@ -310,7 +313,14 @@ def _(t):
         F.when(F.col("payment_type") == "ACH", get("transaction_type")).when(F.col("payment_type") == "CARD", get("transaction_subtype"))
         .otherwise(get("wire_subtype")).alias("kind"),
         F.coalesce(get("card_entry_mode"), get("charges_borne_by")).alias("mode"),
-        F.array_contains(F.json_object_keys("rail_details_json"), "imad").alias("has_imad"))
+        F.array_contains(F.json_object_keys("rail_details_json"), "imad").alias("has_imad"),
+        F.when(F.col("payment_type") == "ACH", F.concat_ws("|", get("batch_number"), get("file_id"), get("addenda_records[0].payment_related_information"),
+                                                           get("return_details.return_reason_code"), get("return_details.return_date"), get("noc_details.noc_code"),
+                                                           get("v1_fields.transaction_code"), get("trace_number")))
+        .when(F.col("payment_type") == "CARD", F.concat_ws("|", get("merchant_id"), get("authorization_code"), get("terminal_id"), get("network_transaction_id"),
+                                                           get("card_present"), get("v1_fields.cvv_present")))
+        .otherwise(F.concat_ws("|", get("fed_reference_number"), get("beneficiary_fi_name"), get("originator_to_beneficiary_information"),
+                               get("v1_fields.sender_reference"), get("v1_fields.beneficiary_country"))).alias("carried"))
 
 
 @case("addenda", "txn", """WITH a AS (
