@@ -11,7 +11,7 @@ from ..functions.timeline import HOT_ROWS, SLOT_SECONDS, neighbour
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY as KEY
 from ..sources.schemas import CHANGE_ORDER
-from ..sources.storage import period_start, write_silver
+from ..sources.storage import period_start, read_version, write_silver, write_version
 
 UPSERT = ("I", "U")
 
@@ -62,10 +62,10 @@ def merge_cdc(target: DataFrame, changes: DataFrame, guard_deletes: bool = False
     The target is the left side of an outer join and of a semi join on bare keys: with
     a small batch both broadcast it and the target does not move; with a large batch
     both shuffle on the key, which AQE splits where skewed.  The batch is used three
-    times: a caller that stores it first passes ``deduplicated``.
+    times, so it is deduplicated and checkpointed once, unless the caller did (``deduplicated``).
     """
     batch = changes.unionByName(graves) if graves is not None else changes
-    staged = batch if deduplicated else latest_changes(batch)
+    staged = batch if deduplicated else cut_lineage(latest_changes(batch))
     columns = target.columns
     joined = target.select(*KEY, F.struct(*columns).alias("_t")).join(
         staged.select(*KEY, F.struct(*columns).alias("_s")), KEY, "left")
@@ -98,22 +98,30 @@ def merge_audit(target: DataFrame, changes: DataFrame, guard_deletes: bool = Fal
 
 
 def merge_cdc_incremental(spark: SparkSession, path: str, changes: DataFrame, guard_deletes: bool = False,
-                          period: str = "day") -> None:
+                          period: str = "day", graves: str | None = None) -> None:
     """Merge a batch into stored silver, rewriting only partitions touched on either side.
 
+    With ``graves``, deletes are remembered in that folder, so that an older insert that
+    arrives after its delete stays out.
+
     An update may move a row to another day, so both the old and the new day count.
     The merged partitions are checkpointed before the write: they are read from the
     very files that the write replaces.
     """
     target = spark.read.parquet(path)
     columns = [c for c in target.columns if c != "txn_date"]
-    staged = cut_lineage(latest_changes(changes).select(*columns))
+    batch = changes.select(*columns)
+    if graves and (dead := read_version(spark, graves)) is not None:
+        batch = batch.unionByName(dead.select(*columns))
+    staged = cut_lineage(latest_changes(batch))
     old = target.select(*KEY, "txn_date").join(staged.select(*KEY), KEY, "left_semi").select("txn_date")
     new = staged.filter(F.col("_cdc_operation").isin(*UPSERT)).select(
         period_start(F.to_date("transaction_ts"), period).alias("txn_date"))
     touched = cut_lineage(old.union(new).distinct())
     part = target.join(touched, "txn_date", "left_semi").select(*columns)
     write_silver(cut_lineage(merge_cdc(part, staged, guard_deletes, deduplicated=True)), path, touched, period)
+    if graves:
+        write_version(staged.filter(F.col("_cdc_operation") == "D"), graves)
 
 
 def snapshot_as_of(log: DataFrame, moment: dt.datetime) -> DataFrame:

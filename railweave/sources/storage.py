@@ -116,6 +116,36 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(root) and any(f.isDirectory() for f in fs.listStatus(root))
 
 
+def _versions(spark: SparkSession, path: str) -> tuple[list[int], object, object]:
+    """Numbers of the complete versions stored at ``path``, and its file system and root."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return [], fs, root
+    names = [f.getPath().getName() for f in fs.listStatus(root)]
+    done = [int(n[1:]) for n in names if n[0] == "v" and n[1:].isdigit() and fs.exists(jvm.org.apache.hadoop.fs.Path(root, f"{n}/_SUCCESS"))]
+    return sorted(done), fs, root
+
+
+def write_version(df: DataFrame, path: str) -> None:
+    """Store a whole small table as a new version; the ones before the last go afterwards.
+
+    A reader sees the old version until the new one is complete, and a crash leaves the old.
+    """
+    spark = df.sparkSession
+    done, fs, root = _versions(spark, path)
+    df.write.mode("overwrite").parquet(f"{path}/v{(done or [0])[-1] + 1}")
+    for n in done[:-1]:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root, f"v{n}"), True)
+
+
+def read_version(spark: SparkSession, path: str) -> DataFrame | None:
+    """The newest complete version; none stored yet gives None."""
+    done, _, _ = _versions(spark, path)
+    return spark.read.parquet(f"{path}/v{done[-1]}") if done else None
+
+
 def write_silver(df: DataFrame, path: str, days: DataFrame | None = None, period: str = "day") -> None:
     """Replace the partitions present in ``df``; with ``days``, also clear those now empty.
 

@@ -20,7 +20,7 @@ from ..operators import cdc, identity
 from ..operators.quality import Rules, split_valid
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY
-from ..sources.storage import has_files, write_silver
+from ..sources.storage import has_files, write_silver, write_version
 
 PARTY = ["tenant_id", "originator_party_id"]
 
@@ -33,9 +33,9 @@ def batch_sink(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def snapshot_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """Keep only the newest complete result."""
+    """Keep the newest complete result; ``read_version`` reads it."""
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(path)
+        write_version(df, path)
     return write
 
 
@@ -47,17 +47,20 @@ def start(sdf: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: st
 
 def start_cdc(spark: SparkSession, changes: DataFrame, silver: str, checkpoint: str, guard_deletes: bool = False,
               period: str = "day", available_now: bool = True) -> StreamingQuery:
-    """Upsert a change stream into stored silver.
+    """Upsert a change stream into stored silver; deletes are remembered beside it.
 
     An older change never overwrites a newer row: the merge compares timestamps and
     sequences itself, and merging a batch twice equals merging it once.
     """
+    graves = silver.rstrip("/") + "-graves"
+
     def upsert(batch: DataFrame, batch_id: int) -> None:
         if has_files(spark, silver):
-            cdc.merge_cdc_incremental(spark, silver, batch, guard_deletes, period)
+            cdc.merge_cdc_incremental(spark, silver, batch, guard_deletes, period, graves)
         else:
-            first = cdc.latest_changes(batch).filter(F.col("_cdc_operation").isin(*cdc.UPSERT))
-            write_silver(cut_lineage(first), silver, period=period)
+            newest = cut_lineage(cdc.latest_changes(batch))
+            write_version(newest.filter(F.col("_cdc_operation") == "D"), graves)
+            write_silver(newest.filter(F.col("_cdc_operation").isin(*cdc.UPSERT)), silver, period=period)
 
     return start(changes, upsert, checkpoint, available_now=available_now)
 

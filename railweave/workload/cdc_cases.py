@@ -112,6 +112,17 @@ def _(t):
     return t.spark.read.parquet(path).select(*SHOW)
 
 
+@case("merge_cdc_graves", "txn", f"WITH {merged('ordered')} SELECT {SHOWN} FROM m")
+def _(t):
+    """After the merge the old rows arrive once more: what was deleted since stays out, and old deletes do not reach newer rows."""
+    path = scratch_path(t.spark, "merge")
+    target, changes = sides(t, "ordered")
+    storage.write_silver(target, path, period="year")
+    for batch in (changes, t.txn.filter(SCENES["ordered"][0])):
+        cdc.merge_cdc_incremental(t.spark, path, batch, guard_deletes=True, period="year", graves=path + "-graves")
+    return t.spark.read.parquet(path).select(*SHOW)
+
+
 @case("snapshot_as_of", "txn", f"SELECT {SHOWN} FROM ({newest('txn', f'_cdc_timestamp <= {CUT}')}) n WHERE _cdc_operation <> 'D'")
 def _(t):
     return cdc.snapshot_as_of(t.txn, dt.datetime(1999, 1, 1)).select(*SHOW)
