@@ -56,6 +56,9 @@ def group(needs: str = "", **parts: Field) -> Field:
     return Field("object", True, parts=parts, needs=tuple(needs.split()))
 
 
+# formats of dates and moments, as patterns
+DAY = "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$"
+MOMENT = "^[0-9]{4}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[Tt][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})$"
 ABA = like("^[0-9]{9}$")
 COUNTRY = like("^[A-Z]{2}$")
 BIC = like("^[A-Z]{4}[A-Z]{2}[A-Z0-9]{2}([A-Z0-9]{3})?$")
@@ -77,8 +80,8 @@ V2 = {
         batch_number=text(7), file_id=text(128), company_id=text(10), company_name=text(16), company_entry_description=text(20),
         company_discretionary_data=text(20), individual_id=text(22), same_day_flag=flag(), addenda_record_indicator=flag(),
         addenda_records=array(),
-        return_details=group("return_reason_code return_date", return_reason_code=like("^R[0-9]{2}$", null=False), return_date=text(null=False),
-                             original_trace_number=like("^[0-9]{15}$"), return_settlement_date=text(), dishonored_return_code=like("^R[0-9]{2}$")),
+        return_details=group("return_reason_code return_date", return_reason_code=like("^R[0-9]{2}$", null=False), return_date=like(DAY, null=False),
+                             original_trace_number=like("^[0-9]{15}$"), return_settlement_date=like(DAY), dishonored_return_code=like("^R[0-9]{2}$")),
         noc_details=group(noc_code=like("^C[0-9]{2}$", null=False), corrected_data=text(null=False)),
         iat_details=group(foreign_exchange_indicator=one_of("FV", "VF", "FF", null=False), foreign_exchange_reference_indicator=integer(),
                           foreign_exchange_reference=text(15), foreign_routing_number=text(), foreign_correspondent_bank_name=text()),
@@ -102,14 +105,14 @@ V2 = {
         card_token=text(), card_expiry_indicator=text(),
         transaction_subtype=one_of("AUTHORIZATION", "CAPTURE", "AUTH_CAPTURE", "REFUND", "VOID", "REVERSAL", "CHARGEBACK", "CHARGEBACK_REVERSAL",
                                    "BALANCE_INQUIRY", "CASH_ADVANCE", null=False),
-        authorization_code=text(6), authorization_date=text(), capture_date=text(), retrieval_reference_number=text(12),
+        authorization_code=text(6), authorization_date=like(MOMENT), capture_date=like(DAY), retrieval_reference_number=text(12),
         system_trace_audit_number=text(6), network_transaction_id=text(), merchant_category_code=like("^[0-9]{4}$"), merchant_id=text(15),
         merchant_name=text(128), merchant_city=text(64), merchant_state=text(3), merchant_country_code=COUNTRY, terminal_id=text(8),
         card_entry_mode=one_of("SWIPE", "CHIP", "CONTACTLESS", "MANUAL_KEY", "ECOMMERCE", "RECURRING", "CREDENTIAL_ON_FILE", "ATM"),
         card_present=flag(), cvv_result=one_of("MATCH", "NO_MATCH", "NOT_PROVIDED", "ISSUER_NOT_CERTIFIED"), avs_result=text(2),
         issuer_response_code=text(2), issuer_response_description=text(128), acquirer_reference=text(64), interchange_fee=number(),
         original_transaction_reference=text(),
-        chargeback_details=group(chargeback_reason_code=text(null=False), chargeback_reason_description=text(), chargeback_date=text(null=False),
+        chargeback_details=group(chargeback_reason_code=text(null=False), chargeback_reason_description=text(), chargeback_date=like(DAY, null=False),
                                  chargeback_amount=number(null=False), dispute_status=one_of("OPEN", "WON", "LOST", "WITHDRAWN", null=False)),
         is_on_us=flag(), issuer_routing=text(), acquirer_institution_id=text()),
     "ZELLE": _contract(
@@ -120,7 +123,7 @@ V2 = {
         originator_fi_name=text(128), beneficiary_proxy_type=one_of("EMAIL", "PHONE", "ZELLE_ALIAS"), beneficiary_proxy_token=text(),
         beneficiary_fi_routing=ABA, beneficiary_fi_name=text(128), memo=text(255), request_for_payment_id=text(),
         request_for_payment_status=one_of("OPEN", "FULFILLED", "CANCELLED", "EXPIRED"),
-        enrollment_status=one_of("ENROLLED", "NOT_ENROLLED", "PENDING"), payment_expiry_date=text(), is_on_us=flag(),
+        enrollment_status=one_of("ENROLLED", "NOT_ENROLLED", "PENDING"), payment_expiry_date=like(MOMENT), is_on_us=flag(),
         on_us_settlement_type=one_of("BOOK_TRANSFER", "INTERNAL_ZELLE")),
     "RTP": _contract(
         "RTP", "v2", "transaction_subtype rtp_transaction_id",
@@ -130,39 +133,39 @@ V2 = {
         instructing_agent_name=text(128), instructed_agent_routing=ABA, instructed_agent_name=text(128), remittance_information=text(140),
         structured_remittance=group(creditor_reference_type=text(null=False), creditor_reference=text(null=False), referred_doc_type=text(),
                                     referred_doc_number=text(), referred_doc_amount=number()),
-        purpose_code=text(4), category_purpose=text(4), settlement_date=text(), settlement_time=text(),
+        purpose_code=text(4), category_purpose=text(4), settlement_date=like(DAY), settlement_time=like(MOMENT),
         rtp_network_status=one_of("RECEIVED", "ACCEPTED", "ACCEPTED_WITH_CHANGE", "PENDING", "REJECTED", "RETURNED"),
         return_details=group(return_reason_code=text(null=False), return_reason_description=text(), original_rtp_transaction_id=text(),
-                             return_ts=text(null=False)),
+                             return_ts=like(MOMENT, null=False)),
         request_for_payment=group(rfp_id=text(null=False), rfp_status=one_of("OPEN", "FULFILLED", "REJECTED", "CANCELLED", "EXPIRED", null=False),
-                                  rfp_expiry_date=text(null=False), payer_response_code=text()),
+                                  rfp_expiry_date=like(MOMENT, null=False), payer_response_code=text()),
         is_on_us=flag()),
     "FEDNOW": _contract(
         "FEDNOW", "v2", "transaction_subtype fednow_transaction_id",
         transaction_subtype=one_of("CREDIT_TRANSFER", "REQUEST_FOR_PAYMENT", "REQUEST_FOR_PAYMENT_RESPONSE", "PAYMENT_STATUS_REPORT", "RETURN",
                                    "LIQUIDITY_MANAGEMENT_TRANSFER", null=False),
         fednow_transaction_id=text(36, null=False), end_to_end_id=text(35), instruction_id=text(35), uetr=UETR, instructing_agent_routing=ABA,
-        instructing_agent_name=text(128), instructed_agent_routing=ABA, instructed_agent_name=text(128), requested_execution_date=text(),
-        interbank_settlement_date=text(), interbank_settlement_amount=number(), remittance_information=text(140), purpose_code=text(4),
+        instructing_agent_name=text(128), instructed_agent_routing=ABA, instructed_agent_name=text(128), requested_execution_date=like(DAY),
+        interbank_settlement_date=like(DAY), interbank_settlement_amount=number(), remittance_information=text(140), purpose_code=text(4),
         fednow_status=one_of("RCVD", "ACCP", "ACWC", "RJCT", "PDNG", "ACSC"), ultimate_debtor_account_token=text(),
         ultimate_creditor_account_token=text(),
         return_details=group(return_reason_code=text(null=False), return_reason_description=text(), original_fednow_transaction_id=text(),
-                             return_ts=text(null=False)),
+                             return_ts=like(MOMENT, null=False)),
         request_for_payment=group(rfp_id=text(null=False), rfp_status=one_of("OPEN", "FULFILLED", "REJECTED", "CANCELLED", "EXPIRED", null=False),
-                                  rfp_expiry_date=text()),
+                                  rfp_expiry_date=like(MOMENT)),
         is_on_us=flag()),
     "CHECK": _contract(
         "CHECK RDC", "v2", "check_subtype",
         check_subtype=one_of("PAPER_CHECK", "RDC_MOBILE", "RDC_SCANNER", "TELLER_CAPTURE", null=False), check_number=text(10),
         micr_routing_number=ABA, micr_account_token=text(), micr_amount=number(),
-        micr_verification_status=one_of("VERIFIED", "FAILED", "NOT_PRESENT", "PARTIAL"), micr_raw_data_token=text(), check_date=text(),
+        micr_verification_status=one_of("VERIFIED", "FAILED", "NOT_PRESENT", "PARTIAL"), micr_raw_data_token=text(), check_date=like(DAY),
         payee_name_token=text(), memo_line=text(128),
         rdc_details=group(batch_id=text(64), sequence_number=text(), deposit_account_token=text(), check_front_image_id=text(),
                           check_back_image_id=text(), image_quality_score=integer(0, 100), iqv_result=one_of("PASS", "WARN", "FAIL"),
                           exception_codes=array(), substitute_check_id=text()),
-        clearing_details=group(clearing_house=one_of("FRB", "SVPCO", "DIRECT"), presentment_routing=ABA, presentment_date=text(),
+        clearing_details=group(clearing_house=one_of("FRB", "SVPCO", "DIRECT"), presentment_routing=ABA, presentment_date=like(DAY),
                                truncation_status=one_of("TRUNCATED", "NOT_TRUNCATED", "SUBSTITUTE_CHECK")),
-        return_details=group(return_reason_code=text(null=False), return_date=text(null=False), re_presentment_count=integer()),
+        return_details=group(return_reason_code=text(null=False), return_date=like(DAY, null=False), re_presentment_count=integer()),
         originator_fi_routing=ABA, depositing_fi_routing=ABA, is_on_us=flag(), on_us_settlement_type=one_of("BOOK_TRANSFER", "INTERNAL_CHECK")),
     "BILLPAY": _contract(
         "BILLPAY", "v2", "bill_pay_reference biller_id delivery_method",
@@ -172,10 +175,10 @@ V2 = {
         biller_account_number_token=text(), biller_routing_number=ABA,
         delivery_method=one_of("ELECTRONIC_ACH", "ELECTRONIC_REAL_TIME", "PAPER_CHECK", "LASER_DRAFT", null=False),
         underlying_rail=one_of("ACH", "RTP", "FEDNOW", "CHECK"), underlying_transaction_id=text(),
-        payment_method=one_of("CHECKING", "SAVINGS", "CARD"), funding_account_token=text(), scheduled_delivery_date=text(),
-        actual_delivery_date=text(), payment_submit_date=text(), bill_reference_number=text(64), memo=text(255),
+        payment_method=one_of("CHECKING", "SAVINGS", "CARD"), funding_account_token=text(), scheduled_delivery_date=like(DAY),
+        actual_delivery_date=like(DAY), payment_submit_date=like(DAY), bill_reference_number=text(64), memo=text(255),
         recurring_details=group(is_recurring=flag(), frequency=one_of("WEEKLY", "BIWEEKLY", "MONTHLY", "QUARTERLY", "ANNUALLY"),
-                                recurring_start_date=text(), recurring_end_date=text(), occurrence_number=integer(), total_occurrences=integer()),
+                                recurring_start_date=like(DAY), recurring_end_date=like(DAY), occurrence_number=integer(), total_occurrences=integer()),
         aggregator_name=text(), aggregator_transaction_id=text(), is_on_us=flag()),
 }
 V2["RDC"] = V2["CHECK"]
@@ -222,8 +225,10 @@ def _spec_rows(version: str):
                 yield rail, f"{name}.{child}", part
 
 
-def contract_table(spark: SparkSession, version: str) -> DataFrame:
-    rows = [(rail, path, s.kind, s.null, list(s.one_of) or None, s.pattern, s.longest,
+def contract_table(spark: SparkSession, version: str, words: dict[tuple[str, str], list[str]] | None = None) -> DataFrame:
+    """``words``: vocabularies that belong to a deployment, by rail and path."""
+    words = words or {}
+    rows = [(rail, path, s.kind, s.null, list(words.get((rail, path), s.one_of)) or None, s.pattern, s.longest,
              None if s.low is None else float(s.low), None if s.high is None else float(s.high))
             for rail, path, s in _spec_rows(version)]
     return spark.createDataFrame(rows, "payment_type string, path string, kind string, nullable boolean, one_of array<string>, "
@@ -289,16 +294,18 @@ def _entries(version: str, df: DataFrame) -> DataFrame:
         "transaction_id", "payment_type", "e.*")
 
 
-def validate_rail_json(df: DataFrame, version: str = "v2") -> DataFrame:
+def validate_rail_json(df: DataFrame, version: str = "v2", aggregators: list[str] | None = None) -> DataFrame:
     """Contract violations, one row each: ``transaction_id, payment_type, path, problem``.
 
+    ``aggregators`` lists the bill-pay aggregators of a deployment; without it any name passes.
+
     Documents are parsed once and taken apart into the keys they really have; the
     contract of all rails is one small table joined by rail and path, so the work grows
     with the keys present and one scan serves every rail.  Text that is not an object has
     the single problem ``document:type``.
     """
     c, found, text = F.col, F.col("found"), F.col("text")
-    spec = contract_table(df.sparkSession, version)
+    spec = contract_table(df.sparkSession, version, {("BILLPAY", "aggregator_name"): aggregators} if aggregators else None)
     closed = [name for _, fields in CONTRACTS[version].values() for name, s in fields.items() if s.parts and version == "v1"]
     rows = _entries(version, df).join(F.broadcast(spec), ["payment_type", "path"], "left")  # a fixed table of a few hundred rows
     typed = c("kind").isNotNull() & ((found == c("kind")) | ((c("kind") == "number") & (found == "integer")))
