@@ -250,7 +250,10 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         open_ = store(idle.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("band"), "minhash-open")
         if open_.isEmpty():
             break
-        idle = store(idle.join(open_, "band", "left_semi"), "minhash-idle")
+        # labels only ever merge, so a settled band stays settled: the rest goes on
+        now = store(now.join(open_, "band", "left_semi"), "minhash-open-members")
+        member = now.select("band", "node")
+        idle = now.join(used, ["band", "node"], "left_anti")
         # the next pivots of an open band: its first idle members, as many as the round allows
         turn = F.row_number().over(Window.partitionBy("band").orderBy("node"))
         pivots = store(idle.withColumn("turn", turn).where(F.col("turn") <= count).select("band", F.col("node").alias("p"), F.col("label").alias("own")), "minhash-next")
