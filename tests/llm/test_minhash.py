@@ -69,6 +69,20 @@ def test_signature_estimates_the_weighted_similarity():
     assert abs((both[0] == both[1]).mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.03
 
 
+def test_pairs_at_the_bound_share_a_band():
+    """Nobody looks at a pair without a common band again: at 0.8 that may happen once in 300,000 times."""
+    assert (1 - 0.8**minhash.ROWS) ** minhash.BANDS < 3.3e-6
+    r = np.random.default_rng(11)
+    missed = 0
+    for _ in range(4):
+        keys = r.integers(0, 1 << 48, (1000, 10), dtype=np.uint64)
+        both = np.stack([keys[:, :9], keys[:, 1:]], 1).reshape(-1)  # 8 of 10 shingles in common
+        best = minhash.signatures(both, np.ones(len(both), np.int64), np.arange(9, len(both) + 1, 9))
+        band = minhash.band_keys(best)
+        missed += int((~(band[::2] == band[1::2]).any(1)).sum())
+    assert missed == 0
+
+
 def test_bands_go_on_until_all_pairs_are_settled(spark, monkeypatch):
     """Every node in one band: classes must still come out whole."""
     monkeypatch.setattr(minhash, "SALT_PAIRS", 3)
