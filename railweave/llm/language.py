@@ -224,13 +224,16 @@ def _fit(passages: list[tuple[str, str]], steps: int = STEPS, seed: int = 7) ->
 def train(docs: DataFrame, passages: int = PASSAGES, chars: int = PASSAGE_CHARS) -> Model:
     """Fit on at most ``passages`` passages of ``chars`` characters per language of ``doc_id, text, lang``.
 
-    Documents are drawn by a hash of their text, each passage from the middle of its text.
-    Rows without text or language are left out.  That sample is all the driver sees.
+    Documents are drawn by a hash of their text, each passage from the middle of its text;
+    copies count once per language.  Rows without text or language are left out.  That sample
+    is all the driver sees.
     """
     rows = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     start = F.greatest(F.lit(1), F.floor((F.char_length("text") - chars) / 2).cast("int"))
     rows = rows.select("lang", F.xxhash64("text").alias("_at"), F.substring("text", start, F.lit(chars)).alias("_text"))
-    first = rows.withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_at", "_text"))).where(F.col("_n") <= passages)
+    # hashes are drawn first, so that no passage moves that is not drawn; what is drawn has the bound of the sample
+    drawn = rows.select("lang", "_at").distinct().withColumn("_n", F.row_number().over(Window.partitionBy("lang").orderBy("_at"))).where(F.col("_n") <= passages)
+    first = rows.join(F.broadcast(drawn.select("lang", "_at")), ["lang", "_at"], "left_semi").groupBy("lang", "_at").agg(F.min("_text").alias("_text"))
     return _fit(sorted((r["lang"], r["_text"]) for r in first.collect()))
 
 

@@ -34,6 +34,16 @@ def test_words_of_mixed_text_and_odd_rows(spark, docs):
     assert language.identify(table.limit(0), model).count() == 0
 
 
+def test_copies_count_once_in_the_training_sample(spark, monkeypatch):
+    texts = [f"passage number {'abcdefghij'[i]} of ten" for i in range(10)]
+    rows = [(i, t, lang) for lang in ("aa", "bb") for t in texts for i in range(50)]
+    monkeypatch.setattr(language, "_fit", lambda passages: passages)
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    assert language.train(table, 10) == sorted((lang, t) for lang in ("aa", "bb") for t in texts)
+    least = [r.text for r in table.select("text").distinct().orderBy(language.F.xxhash64("text")).limit(4).collect()]
+    assert language.train(table, 4) == sorted((lang, t) for lang in ("aa", "bb") for t in least)
+
+
 def test_marginals_match_enumeration():
     r = np.random.default_rng(1)
     moves, sizes = r.normal(size=(3, 3)), np.array([4, 0, 1, 5])
