@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from railweave.llm import language, minhash, packing, substrings
 from railweave.llm.common import store
 
-#: A document goes if it has no word with a letter, or if the words' mean posterior of its best
-#: language is below this: less than half of its text reads like one of the known languages.
+#: A document goes if it has no word with a letter, or if the mean over its words of each word's
+#: own largest posterior is below this: the words fit no known language.  Texts that switch
+#: between known languages are certain word by word and stay.
 LEAST_SCORE = 0.4
 
 
@@ -24,7 +25,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language.train(docs)
     # what the operator adds must not replace columns that the documents bring along
     held = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    known = language.identify(held, model).where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_SCORE))
+    known = language.certainty(held, model).where(F.col("certainty") >= LEAST_SCORE)
     return known.select("row.*")
 
 

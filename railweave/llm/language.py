@@ -289,6 +289,20 @@ def identify(df: DataFrame, model: Model, keep_text: bool = False) -> DataFrame:
     return _run(df, model, _documents, "lang_pred string, score double", keep_text)
 
 
+def _certainty(model: Model, texts: list[str | None]):
+    _, sizes, spoken, post = _posteriors(model, texts)
+    doc = np.repeat(np.arange(len(texts)), sizes)[spoken]
+    n = np.bincount(doc, minlength=len(texts))
+    sure = np.bincount(doc, post[spoken].max(1), len(texts)) / np.maximum(n, 1)
+    return [pa.array(np.clip(sure, 0, 1), pa.float64())], ["certainty"]
+
+
+def certainty(df: DataFrame, model: Model) -> DataFrame:
+    """Replace ``text`` by ``certainty``: the mean, over the words with a letter, of each word's
+    largest posterior, whatever its language; 0 without such a word."""
+    return _run(df, model, _certainty, "certainty double")
+
+
 def _words(model: Model, texts: list[str | None]):
     split, sizes, spoken, post = _posteriors(model, texts)
     label = np.where(spoken, np.array(model.langs, object)[post.argmax(1)] if len(post) else "", "und")

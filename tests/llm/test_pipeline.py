@@ -44,6 +44,25 @@ def test_each_stage_against_plain_python(spark):
     assert sorted(map(tuple, p.run(spark, SF).select("doc_id", "start", "length", "ids_crc32").collect())) == sorted((x.doc_id, x.start, x.length, x.ids_crc32) for x in placed)
 
 
+def test_language_stage_drops_named_junk_alone(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    some = {r.lang: r.text.split()[:40] for r in docs.where("length(text) > 400").orderBy("doc_id").collect()}
+    assert len(some) > 2
+    mixed = " ".join(w for lang in sorted(some) for w in some[lang])
+    junk = {-11: None, -12: "", -13: " \n", -14: "12 | .. !", -15: "0 1 2 " * 500}
+    odd = [*((i, t, None) for i, t in junk.items()), (-1, mixed, None), (-2, f"{mixed} " * 20, None)]
+    rows = docs.unionByName(spark.createDataFrame(odd, docs.schema))
+    spoken = sorted(r.doc_id for r in rows.collect() if any(c.isalpha() for c in r.text or ""))
+    assert ids(p.identify_language(spark, rows, SF)) == spoken and not set(junk) & set(spoken)
+
+    # a model to which all languages are equally likely knows no word
+    model = p.language.train(docs)
+    for a in (model.weights, model.listed, model.moves):
+        a[:] = 0
+    monkeypatch.setattr(p.language, "train", lambda docs: model)
+    assert ids(p.identify_language(spark, rows, SF)) == []
+
+
 def test_odd_rows_and_extra_columns(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score double, lang_pred string, node string, kept string, n_bytes int, sequence_id int, `row` string"
     more = (0.5, "zz", "n", "k", 1, 2, "r")
