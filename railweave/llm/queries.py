@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, byte_bpe, chunk_dedup, fingerprint, language, lm, minhash, neighbours, packing, sharding, substrings, warc
+from . import alignment, byte_bpe, chunk_dedup, fingerprint, hard_negatives, language, lm, minhash, neighbours, packing, sharding, substrings, warc
 from ..session import scratch_path
 from .common import table
 
@@ -55,10 +55,14 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_rabit_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings", "vec_id", "embedding", "label"))
+
+
 def op13_chunk_recipes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.exact_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {f.__name__: f for f in (op1_kd_shards, op2_crf_language, op3_warc_chain, op4_bagminhash, op5_suffix_dedup, op6_nnls_packing, op7_byte_bpe, op8_hnsw, op9_deleted_interpolation, op10_parsing_fingerprints,
-                                   op11_token_alignment, op13_chunk_recipes)}
+                                   op11_token_alignment, op12_rabit_negatives, op13_chunk_recipes)}
 ORACLES: dict[str, str] = {"op3_warc_chain": warc.ORACLE, "op13_chunk_recipes": chunk_dedup.ORACLE}
