@@ -16,9 +16,11 @@ space, say) spreads over ``SALTS`` tasks when counts travel back to the links.
 from __future__ import annotations
 
 import hashlib
+import operator
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -47,111 +49,137 @@ def _byte_chars() -> dict[str, int]:
     return out
 
 
+class Tools:
+    """Both tokenizers, and every id's bytes as one flat array with offsets and lengths."""
+
+    def __init__(self, a_path: str, b_path: str):
+        import sentencepiece
+        from tokenizers import Tokenizer
+
+        self.a = Tokenizer.from_file(a_path)
+        self.a.encode_special_tokens = True  # their strings inside texts are plain text
+        self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
+        chars = _byte_chars()
+        a_bytes = [b""] * self.a.get_vocab_size(with_added_tokens=True)
+        known = np.zeros(len(a_bytes), bool)
+        for tok, i in self.a.get_vocab(with_added_tokens=True).items():
+            if all(c in chars for c in tok):
+                a_bytes[i], known[i] = bytes(chars[c] for c in tok), True
+        b_bytes = []
+        for i in range(self.b.get_piece_size()):
+            piece = self.b.id_to_piece(i)
+            b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode("utf-8"))
+        self.a_known = known
+        self.a_flat, self.a_start, self.a_len = _flat(a_bytes)
+        self.b_flat, self.b_start, self.b_len = _flat(b_bytes)
+
+
+def _flat(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    lengths = np.array([len(p) for p in pieces], np.int64)
+    return np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64), lengths
+
+
 @lru_cache(maxsize=2)
-def _tokenizers(a_path: str, b_path: str):
-    import sentencepiece
-    from tokenizers import Tokenizer
-
-    a = Tokenizer.from_file(a_path)
-    a.encode_special_tokens = True  # their strings inside texts are plain text
-    b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-    chars = _byte_chars()
-    a_bytes = {i: bytes(chars[c] for c in tok) for tok, i in a.get_vocab(with_added_tokens=True).items() if all(c in chars for c in tok)}
-    b_bytes = []
-    for i in range(b.get_piece_size()):
-        piece = b.id_to_piece(i)
-        b_bytes.append(bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode("utf-8"))
-    return a, b, a_bytes, b_bytes
-
-
-def _refined(spans: list[tuple[int, int]], sizes: list[int]) -> list[int] | None:
+def _tools(a_path: str, b_path: str) -> Tools:
+    return Tools(a_path, b_path)
+
+
+def _refined(starts: np.ndarray, coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
     """Token ends in bytes.  A token whose coarse span is empty, or that ends where the next one
     ends, shares its cut with what follows (a character split into byte tokens); within such a
     run the decoded bytes place the cuts, and the run's last token must end at its coarse cut.
     None if they disagree."""
-    ends, at = [], 0
-    for k, ((start, end), size) in enumerate(zip(spans, sizes)):
-        at += size
-        ends.append(at)
-        shared = start == end or (k + 1 < len(spans) and spans[k + 1][1] == end)
-        if not shared and at != end:
-            return None
-    return ends
-
-
-def align_text(text: str | None, tools) -> tuple[list[int], list[int], list[int], list[int]] | None:
-    """A ids, B ids and their byte ends in space+text; None when the text has no tokens
+    ends = np.cumsum(sizes)
+    shared = (starts == coarse) | np.r_[coarse[1:] == coarse[:-1], False]
+    return ends if np.array_equal(ends[~shared], coarse[~shared]) else None
+
+
+def _spells(flat: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.ndarray, target: np.ndarray) -> bool:
+    """Do the tokens' bytes, joined, equal ``target``?"""
+    sizes = length[ids]
+    if sizes.sum() != len(target):
+        return False
+    before = np.cumsum(sizes) - sizes
+    at = np.repeat(start[ids] - before, sizes) + np.arange(len(target))
+    return bool(np.array_equal(flat[at], target))
+
+
+def align_text(text: str | None, tools: Tools) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """A ids, A byte ends, B ids, B byte ends in space+text; None when the text has no tokens
     (null, empty, or joined bytes that are not space+text)."""
     if not text:
         return None
-    a, b, a_bytes, b_bytes = tools
-    target = (" " + text).encode("utf-8")
-    char_end = [0]
-    for ch in " " + text:
-        char_end.append(char_end[-1] + len(ch.encode("utf-8")))
-    enc = a.encode(" " + text, add_special_tokens=False)
-    a_ids = enc.ids
-    if any(i not in a_bytes for i in a_ids):
+    target = np.frombuffer((" " + text).encode("utf-8"), np.uint8)
+    char_at = np.append(np.flatnonzero((target & 0xC0) != 0x80), len(target))  # byte offset of each character
+    enc = tools.a.encode(" " + text, add_special_tokens=False)
+    a_ids = np.array(enc.ids, np.int64)
+    if len(a_ids) == 0 or not tools.a_known[a_ids].all() or not _spells(tools.a_flat, tools.a_start, tools.a_len, a_ids, target):
         return None
-    a_ends = _refined([(char_end[s], char_end[e]) for s, e in enc.offsets], [len(a_bytes[i]) for i in a_ids])
-    pieces = b.encode(text, return_type="proto").pieces
-    b_ids = [p.id for p in pieces]
-    b_ends = _refined([(p.begin + 1, p.end + 1) for p in pieces], [len(b_bytes[i]) for i in b_ids])  # +1: the space B adds
-    if a_ends is None or b_ends is None or not a_ends or not b_ends or a_ends[-1] != len(target) or b_ends[-1] != len(target):
+    spans = char_at[np.array(enc.offsets, np.int64).reshape(-1, 2)]
+    a_ends = _refined(spans[:, 0], spans[:, 1], tools.a_len[a_ids])
+    pieces = tools.b.encode(text, return_type="proto").pieces
+    b_rows = np.array(list(map(_SPAN, pieces)), np.int64).reshape(-1, 3)
+    b_ids = b_rows[:, 0]
+    if len(b_ids) == 0 or not _spells(tools.b_flat, tools.b_start, tools.b_len, b_ids, target):
         return None
-    if b"".join(a_bytes[i] for i in a_ids) != target or b"".join(b_bytes[i] for i in b_ids) != target:
+    b_ends = _refined(b_rows[:, 1] + 1, b_rows[:, 2] + 1, tools.b_len[b_ids])  # +1: the space B adds
+    if a_ends is None or b_ends is None:
         return None
     return a_ids, a_ends, b_ids, b_ends
 
 
-def groups_and_links(a_ids, a_ends, b_ids, b_ends) -> tuple[list[tuple[list[int], list[int]]], list[tuple[int, int]]]:
-    """Groups (A ids, B ids) between common ends, and all overlapping (A id, B id) token pairs."""
-    groups, links = [], []
-    i = j = 0
-    ga, gb = [], []
-    while i < len(a_ids) and j < len(b_ids):
-        links.append((a_ids[i], b_ids[j]))
-        ea, eb = a_ends[i], b_ends[j]
-        if ea <= eb:
-            ga.append(a_ids[i])
-            i += 1
-        if eb <= ea:
-            gb.append(b_ids[j])
-            j += 1
-        if ea == eb:
-            groups.append((ga, gb))
-            ga, gb = [], []
-    return groups, links
+def groups_and_links(a_ids, a_ends, b_ids, b_ends) -> tuple[str, int, np.ndarray, np.ndarray]:
+    """The spelled groups (``a1,a2|b1;a3|b2,b3``), their number, and the A and B id of every link.
+
+    Both sequences tile the same bytes, so every end of either closes exactly one link: the
+    pair of tokens that hold the byte before it.  Ends of both close a group.
+    """
+    both = np.sort(np.r_[a_ends, b_ends], kind="stable")  # two sorted runs
+    twice = both[1:] == both[:-1]
+    cuts, common = both[np.r_[True, ~twice]], both[1:][twice]
+    link_a, link_b = a_ids[np.searchsorted(a_ends, cuts)], b_ids[np.searchsorted(b_ends, cuts)]
+    ga, gb = np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
+    sep_a = np.where(np.r_[ga[1:] == ga[:-1], False], ",", "|")
+    sep_b = np.where(np.r_[gb[1:] == gb[:-1], False], ",", ";")
+    order = np.lexsort((np.r_[np.arange(len(ga)), np.arange(len(gb))], np.r_[np.zeros(len(ga)), np.ones(len(gb))], np.r_[ga, gb]))
+    ids = np.r_[a_ids, b_ids][order].tolist()
+    seps = np.r_[sep_a, sep_b][order].tolist()
+    spelled = "".join(map("".join, zip(map(str, ids), seps)))[:-1]
+    return spelled, len(common), link_a, link_b
+
+
+_SPAN = operator.attrgetter("id", "begin", "end")
+PAIR = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())])
 
 
 def aligned(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """ALIGNED for ``_row, doc_id, text``: counts, group digest and distinct linked pairs of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = _tokenizers(a_path, b_path)
+        tools = _tools(a_path, b_path)
         for batch in batches:
-            out = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs")}
+            counts, digests, offsets, keys, many = [], [], [0], [], []
             for text in batch.column("text").to_pylist():
                 found = align_text(text, tools)
                 if found is None:
-                    for k, v in (("n_a", 0), ("n_b", 0), ("n_groups", 0), ("n_links", 0), ("groups_sha256", ""), ("pairs", [])):
-                        out[k].append(v)
+                    counts.append((0, 0, 0, 0))
+                    digests.append("")
+                    offsets.append(offsets[-1])
                     continue
-                a_ids, a_ends, b_ids, b_ends = found
-                groups, links = groups_and_links(*found)
-                spelled = ";".join(",".join(map(str, ga)) + "|" + ",".join(map(str, gb)) for ga, gb in groups)
-                many: dict[tuple[int, int], int] = {}
-                for pair in links:
-                    many[pair] = many.get(pair, 0) + 1
-                out["n_a"].append(len(a_ids))
-                out["n_b"].append(len(b_ids))
-                out["n_groups"].append(len(groups))
-                out["n_links"].append(len(links))
-                out["groups_sha256"].append(hashlib.sha256(spelled.encode()).hexdigest())
-                out["pairs"].append([{"a": x, "b": y, "m": m} for (x, y), m in many.items()])
-            kinds = [pa.int64()] * 4 + [pa.string(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())]))]
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), *(pa.array(out[k], t) for k, t in zip(out, kinds))],
-                                             ["_row", "doc_id", *out])
+                spelled, n_groups, link_a, link_b = groups_and_links(*found)
+                pair, m = np.unique((link_a << 32) | link_b, return_counts=True)
+                counts.append((len(found[0]), len(found[2]), n_groups, len(link_a)))
+                digests.append(hashlib.sha256(spelled.encode()).hexdigest())
+                keys.append(pair)
+                many.append(m)
+                offsets.append(offsets[-1] + len(pair))
+            key = np.concatenate(keys) if keys else np.zeros(0, np.int64)
+            m = np.concatenate(many) if many else np.zeros(0, np.int64)
+            pairs = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(
+                [pa.array((key >> 32).astype(np.int32)), pa.array((key & 0xFFFFFFFF).astype(np.int32)), pa.array(m.astype(np.int64))], fields=list(PAIR)))
+            columns = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 4
+            yield pa.RecordBatch.from_arrays([batch.column("_row"), batch.column("doc_id"), *columns, pa.array(digests, pa.string()), pairs],
+                                             ["_row", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs"])
 
     return rows.select("_row", "doc_id", "text").mapInArrow(run, ALIGNED)
 
