@@ -11,6 +11,7 @@ from ..functions.timeline import HOT_ROWS, SLOT_SECONDS, neighbour
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY as KEY
 from ..sources.schemas import CHANGE_ORDER
+from ..sources import versioned
 from ..sources.storage import period_start, read_version, write_silver, write_version
 
 UPSERT = ("I", "U")
@@ -124,6 +125,88 @@ def merge_cdc_incremental(spark: SparkSession, path: str, changes: DataFrame, gu
         write_version(staged.filter(F.col("_cdc_operation") == "D"), graves)
 
 
+def merge_cdc_logged(spark: SparkSession, path: str, changes: DataFrame, guard_deletes: bool = False,
+                     horizon: dt.datetime | None = None, fail_before_commit: bool = False) -> dict:
+    """Merge a batch into versioned silver (``sources/versioned.py``) and publish the next commit.
+
+    The batch's keys are looked up in the index buckets they hash to; the periods to rewrite
+    are those the index names for them and those their new rows fall in, so silver is read
+    only in those periods and never scanned for keys.  Deleted keys leave tombstones in the
+    index, and an older insert that arrives after its delete stays out.
+
+    ``horizon`` compacts: tombstones older than it are dropped from every bucket this merge
+    rewrites, and the commit remembers the horizon.  From then on a change older than the
+    horizon whose key has no row is refused as late, so an old insert stays out although its
+    tombstone is gone.  Nothing is visible until the commit file is renamed into place; with
+    ``fail_before_commit`` the merge stops just before that (tests of a lost job).
+    Returns the new commit.
+    """
+    state = versioned.manifest(spark, path)
+    if state is None:
+        raise FileNotFoundError(f"no commit at {path}; create the first version with versioned.create")
+    period, buckets, version = state["period"], state["buckets"], state["version"] + 1
+    declared = versioned.data_schema(state).fields
+    columns = [f.name for f in declared]
+    staged = cut_lineage(latest_changes(changes.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in declared))))
+    wanted = sorted(r[0] for r in staged.select(versioned.bucket_of(buckets=buckets)).distinct().collect())
+    bucket_rows = cut_lineage(versioned.read_index(spark, path, state, wanted))
+    hits = bucket_rows.join(staged.select(*KEY), KEY, "left_semi")
+    living = hits.where(~F.col("dead"))
+    old_days = {versioned.day_name(r[0]) for r in living.select("txn_date").distinct().collect()}
+    new_days = {versioned.day_name(r[0]) for r in staged.where(F.col("_cdc_operation").isin(*UPSERT)).select(
+        period_start(F.to_date("transaction_ts"), period)).distinct().collect()}
+    touched = sorted(old_days | new_days)
+    target = versioned.read_days(spark, path, state, touched).select(*columns)
+    graves = hits.where(F.col("dead")).select(*KEY, *CHANGE_ORDER, F.lit("D").alias("_cdc_operation"))
+    late = F.lit(False)
+    if state.get("horizon"):
+        late = (F.col("_cdc_timestamp") < F.lit(state["horizon"]).cast("timestamp")) & F.col("_cdc_operation").isin(*UPSERT)
+    batch = staged.join(living.select(*KEY, F.lit(True).alias("_here")), KEY, "left") \
+        .where(~late | F.col("_here").isNotNull()).drop("_here")
+    merged = cut_lineage(merge_cdc(target, batch.unionByName(graves, allowMissingColumns=True), guard_deletes))
+    stamp = versioned.token(version)
+    days = versioned.write_days(merged, path, stamp, period)
+    # the batch's keys get fresh entries: their row's period, or a tombstone when they end without a row
+    rows_now = merged.join(staged.select(*KEY), KEY, "left_semi").select(
+        *KEY, period_start(F.to_date("transaction_ts"), period).alias("txn_date"), F.lit(False).alias("dead"),
+        *(F.lit(None).cast(staged.schema[c].dataType).alias(c) for c in CHANGE_ORDER))
+    deaths = latest_changes(staged.where(F.col("_cdc_operation") == "D").select(*KEY, *CHANGE_ORDER, "_cdc_operation")
+                            .unionByName(graves)).join(rows_now.select(*KEY), KEY, "left_anti")
+    kept_horizon = max(filter(None, [state.get("horizon"), horizon.isoformat(sep=" ") if horizon else None]), default=None)
+    if kept_horizon:
+        deaths = deaths.where(F.col("_cdc_timestamp") >= F.lit(kept_horizon).cast("timestamp"))
+    tombs = deaths.select(*KEY, F.lit(None).cast("date").alias("txn_date"), F.lit(True).alias("dead"), *CHANGE_ORDER)
+    others = bucket_rows.join(staged.select(*KEY), KEY, "left_anti")
+    if horizon is not None:
+        others = others.where(~F.col("dead") | (F.col("_cdc_timestamp") >= F.lit(kept_horizon).cast("timestamp")))
+    index = versioned.write_index(others.unionByName(rows_now).unionByName(tombs), path, stamp, buckets)
+    new_state = dict(state, version=version, horizon=kept_horizon,
+                     days={**{d: f for d, f in state["days"].items() if d not in touched}, **days},
+                     index={**{b: f for b, f in state["index"].items() if b not in {f"bucket={w}" for w in wanted}}, **index})
+    if fail_before_commit:
+        raise RuntimeError("stopped before the commit")
+    versioned.publish(spark, path, new_state)
+    return new_state
+
+
+def compact_tombstones(spark: SparkSession, path: str, horizon: dt.datetime) -> dict:
+    """Rewrite every index bucket without tombstones older than ``horizon`` and publish it.
+
+    Silver is not touched.  Changes older than the horizon for keys without a row are refused
+    by later merges.
+    """
+    state = versioned.manifest(spark, path)
+    stamp_of = horizon.isoformat(sep=" ")
+    kept = max(filter(None, [state.get("horizon"), stamp_of]))
+    rows = versioned.read_index(spark, path, state, list(range(state["buckets"])))
+    rows = rows.where(~F.col("dead") | (F.col("_cdc_timestamp") >= F.lit(kept).cast("timestamp")))
+    version = state["version"] + 1
+    index = versioned.write_index(rows, path, versioned.token(version), state["buckets"])
+    new_state = dict(state, version=version, horizon=kept, index=index)
+    versioned.publish(spark, path, new_state)
+    return new_state
+
+
 def snapshot_as_of(log: DataFrame, moment: dt.datetime) -> DataFrame:
     """State at ``moment`` by replaying the log."""
     seen = log.filter(F.col("_cdc_timestamp") <= F.lit(moment))

@@ -20,6 +20,7 @@ from ..operators import cdc, identity
 from ..operators.quality import Rules, split_valid
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY
+from ..sources import versioned
 from ..sources.storage import has_files, write_silver, write_version
 
 PARTY = ["tenant_id", "originator_party_id"]
@@ -65,6 +66,33 @@ def start_cdc(spark: SparkSession, changes: DataFrame, silver: str, checkpoint:
     return start(changes, upsert, checkpoint, available_now=available_now)
 
 
+def start_cdc_logged(spark: SparkSession, changes: DataFrame, silver: str, checkpoint: str, guard_deletes: bool = False,
+                     period: str = "day", horizon: dt.timedelta | None = None, available_now: bool = True) -> StreamingQuery:
+    """Upsert a change stream into versioned silver: one commit per micro-batch.
+
+    Each batch reads the index buckets and periods its keys touch, never all of silver.  A batch
+    lost before its commit leaves the previous version readable and is merged again on restart
+    (merging twice equals merging once).  With ``horizon``, tombstones older than the batch's
+    newest change minus ``horizon`` are compacted as buckets are rewritten.
+    """
+
+    def upsert(batch: DataFrame, batch_id: int) -> None:
+        if versioned.manifest(spark, silver) is None:
+            newest = cut_lineage(cdc.latest_changes(batch))
+            versioned.create(newest.filter(F.col("_cdc_operation").isin(*cdc.UPSERT)), silver, period)
+            deletes = newest.filter(F.col("_cdc_operation") == "D")
+            if deletes.isEmpty():
+                return
+            batch = deletes
+        until = None
+        if horizon is not None:
+            last = batch.agg(F.max("_cdc_timestamp")).first()[0]
+            until = last - horizon if last is not None else None
+        cdc.merge_cdc_logged(spark, silver, batch, guard_deletes, horizon=until)
+
+    return start(changes, upsert, checkpoint, available_now=available_now)
+
+
 def dedup_stream(sdf: DataFrame, delay: str = "1 day") -> DataFrame:
     """Drop replays of a change; the watermark bounds the remembered keys."""
     return sdf.withWatermark("_cdc_timestamp", delay).dropDuplicatesWithinWatermark([*BUSINESS_KEY, "_cdc_sequence_id"])

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import cdc
 from ..session import scratch_path
-from ..sources import storage
+from ..sources import storage, versioned
 from .registry import case
 
 K = "tenant_id, source_system, source_transaction_id"
@@ -123,6 +123,39 @@ def _(t):
     return t.spark.read.parquet(path).select(*SHOW)
 
 
+@case("merge_cdc_logged", "txn", f"WITH {merged('interleaved')} SELECT {SHOWN} FROM m")
+def _(t):
+    """Versioned silver with a key index: the batch reads the buckets and periods its keys touch."""
+    path = scratch_path(t.spark, "logged")
+    target, changes = sides(t, "interleaved")
+    versioned.create(target, path, period="year", buckets=16)
+    cdc.merge_cdc_logged(t.spark, path, changes)
+    return versioned.snapshot(t.spark, path).select(*SHOW)
+
+
+@case("merge_cdc_logged_graves", "txn", f"WITH {merged('ordered')} SELECT {SHOWN} FROM m")
+def _(t):
+    """The old rows arrive again after the merge: tombstones in the index keep deleted keys out."""
+    path = scratch_path(t.spark, "logged")
+    target, changes = sides(t, "ordered")
+    versioned.create(target, path, period="year", buckets=16)
+    for batch in (changes, t.txn.filter(SCENES["ordered"][0])):
+        cdc.merge_cdc_logged(t.spark, path, batch, guard_deletes=True)
+    return versioned.snapshot(t.spark, path).select(*SHOW)
+
+
+@case("merge_cdc_logged_compacted", "txn", f"WITH {merged('ordered')} SELECT {SHOWN} FROM m")
+def _(t):
+    """Tombstones compacted by a horizon after every change: old rows arriving again are refused as late."""
+    path = scratch_path(t.spark, "logged")
+    target, changes = sides(t, "ordered")
+    versioned.create(target, path, period="year", buckets=16)
+    cdc.merge_cdc_logged(t.spark, path, changes, guard_deletes=True)
+    cdc.compact_tombstones(t.spark, path, dt.datetime(2100, 1, 1))
+    cdc.merge_cdc_logged(t.spark, path, t.txn.filter(SCENES["ordered"][0]), guard_deletes=True)
+    return versioned.snapshot(t.spark, path).select(*SHOW)
+
+
 @case("snapshot_as_of", "txn", f"SELECT {SHOWN} FROM ({newest('txn', f'_cdc_timestamp <= {CUT}')}) n WHERE _cdc_operation <> 'D'")
 def _(t):
     return cdc.snapshot_as_of(t.txn, dt.datetime(1999, 1, 1)).select(*SHOW)
