@@ -72,25 +72,47 @@ def ubo_closure(rel: DataFrame) -> DataFrame:
         F.sum("share").alias("effective_share"), F.min("depth").alias("min_depth"), F.count("*").alias("path_count"))
 
 
-def hierarchy(rel: DataFrame) -> DataFrame:
+def hierarchy(rel: DataFrame, max_rounds: int = 64) -> DataFrame:
     """Every corporate root above a subsidiary, with the least number of steps to it.
 
-    A subsidiary with several parents is walked up through each of them; an ancestor already
-    known is not walked again, so cycles end, and they have no root.
+    No ancestor is ever listed.  Chains of single-parent parties are settled first by pointer
+    doubling (``follow``), each party to the end of its chain: a root, a party with several
+    parents (a junction), or a cycle.  Only junctions then carry roots downwards, round by round
+    and along reduced edges that skip whole chains, keeping the least steps per (junction,
+    root) and passing on only what improved.  A party inherits the roots of its chain's end
+    with the chain's steps added.  A chain of n parties takes about log2(n) rounds and n rows;
+    the carrying rounds grow with the number of junctions on a path, not with its length.
+    Parties in or only below a cycle without root get no row.
     """
     up = cut_lineage(rel.filter(F.col("relationship_type") == "PARENT_SUBSIDIARY").select(
         F.col("party_id_b").alias("party_id"), F.col("party_id_a").alias("above")).distinct())
-    step = up.select(F.col("party_id").alias("above"), F.col("above").alias("_next"))
-    known, fresh, depth = up.withColumn("depth", F.lit(1)), up, 1
-    while True:
-        depth += 1
-        fresh = cut_lineage(fresh.join(step, "above").select("party_id", F.col("_next").alias("above")).distinct().join(
-            known, ["party_id", "above"], "left_anti"))
+    parents = up.groupBy("party_id").agg(F.count(F.lit(1)).alias("n"))
+    single = up.join(parents.where("n = 1"), "party_id").select("party_id", "above", F.lit(1).alias("steps"))
+    ends = follow(single, "party_id", "above", max_rounds).where(~F.col("cyclic")).select(
+        "party_id", F.col("above").alias("end"), "steps")
+    junctions = parents.where("n > 1").select("party_id")
+    roots = up.select(F.col("above").alias("end")).distinct().join(parents.select(F.col("party_id").alias("end")), "end", "left_anti")
+    # a junction's parent stands for the end of its chain, one step further
+    via = ends.select(F.col("party_id").alias("above"), F.col("end").alias("_end"), F.col("steps").alias("_steps"))
+    cyclic = single.select(F.col("party_id").alias("above")).join(via.select("above"), "above", "left_anti")
+    reduced = cut_lineage(up.join(junctions, "party_id").join(cyclic, "above", "left_anti").join(via, "above", "left").select(
+        "party_id", F.coalesce("_end", "above").alias("end"), (F.coalesce("_steps", F.lit(0)) + 1).alias("w")))
+    best = cut_lineage(reduced.join(roots, "end").groupBy("party_id", F.col("end").alias("root")).agg(F.min("w").alias("d")))
+    fresh = best
+    for _ in range(max_rounds):
+        reached = fresh.join(reduced.withColumnRenamed("party_id", "_below"), F.col("party_id") == F.col("end")).groupBy(
+            F.col("_below").alias("party_id"), "root").agg(F.min(F.col("d") + F.col("w")).alias("d"))
+        fresh = cut_lineage(reached.join(best.withColumnRenamed("d", "_old"), ["party_id", "root"], "left").where(
+            F.col("_old").isNull() | (F.col("d") < F.col("_old"))).drop("_old"))
         if fresh.isEmpty():
             break
-        known = cut_lineage(known.unionByName(fresh.withColumn("depth", F.lit(depth))))
-    inner = up.select(F.col("party_id").alias("above")).distinct()
-    return known.join(inner, "above", "left_anti").select("party_id", F.col("above").alias("root_party_id"), "depth")
+        best = cut_lineage(best.join(fresh.select("party_id", "root"), ["party_id", "root"], "left_anti").unionByName(fresh))
+    else:
+        raise RuntimeError(f"roots did not settle in {max_rounds} rounds")
+    at_root = ends.join(roots, "end").select("party_id", F.col("end").alias("root"), F.col("steps").alias("d"))
+    at_junction = ends.join(best.withColumnRenamed("party_id", "end"), "end").select("party_id", "root", (F.col("steps") + F.col("d")).alias("d"))
+    return best.unionByName(at_root).unionByName(at_junction).select(
+        "party_id", F.col("root").alias("root_party_id"), F.col("d").cast("int").alias("depth"))
 
 
 def party_groups(rel: DataFrame, max_rounds: int = 64) -> DataFrame:
