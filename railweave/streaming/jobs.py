@@ -122,55 +122,66 @@ def stream_sessions(sdf: DataFrame, gap: str = "30 minutes", delay: str = "1 day
 REQUEST = ["tenant_id", "payment_type", "request_key"]
 PAIRED = ("tenant_id string, payment_type string, request_key string, request_id string, requested_ts timestamp, expiry_ts timestamp, "
           "answer_id string, answered_ts timestamp")
-OPEN = "requests array<struct<id:string, asked:timestamp, expiry:timestamp, answered:boolean>>, answers array<struct<id:string, at:timestamp>>"
-
-
-def _settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Pair one request key: what waits is open requests and answers that may still meet one."""
-    requests, answers = ([list(r) for r in part] for part in state.get) if state.exists else ([], [])
-    old_requests, old_answers, out = len(requests), len(answers), []
-    for batch in batches:
-        for row in batch.itertuples(index=False):
-            if row.answer_id is None:
-                requests.append([row.request_id, row.ts.to_pydatetime(), row.expiry_ts.to_pydatetime(), False])
-            else:
-                answers.append([row.answer_id, row.ts.to_pydatetime()])
-    for i, request in enumerate(requests):
-        for j, (answer, at) in enumerate(answers):
-            if (i >= old_requests or j >= old_answers) and request[1] <= at <= request[2]:
-                out.append((*key, *request[:3], answer, at))
-                request[3] = True
-    now = dt.datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, dt.timezone.utc).replace(tzinfo=None)
-    out += [(*key, *r[:3], None, None) for r in requests if r[2] < now and not r[3]]
-    requests = [tuple(r) for r in requests if r[2] >= now]
-    answers = [tuple(a) for a in answers if a[1] >= now]  # a request yet to come is later than these
-    if requests or answers:
-        state.update((requests, answers))
-        wake = min([r[2] for r in requests] + [a[1] for a in answers])
-        wake_ms = int(wake.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) + 1
-        state.setTimeoutTimestamp(max(wake_ms, state.getCurrentWatermarkMs() + 1))
-    elif state.exists:
-        state.remove()
-    if out:
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in PAIRED.split(", ")])
-
-
-def _pair(requests: DataFrame, responses: DataFrame, delay: str) -> DataFrame:
+OPEN = ("requests array<struct<id:string, asked:timestamp, expiry:timestamp, until:timestamp, answered:boolean>>, "
+        "answers array<struct<id:string, at:timestamp>>")
+#: A request without expiry takes answers for this long after it was made; then it leaves state
+#: without counting as expired.
+OPEN_FOR = dt.timedelta(days=30)
+
+
+def _settler(open_for: dt.timedelta):
+    def settle(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        """Pair one request key: what waits is open requests and answers that may still meet one."""
+        requests, answers = ([list(r) for r in part] for part in state.get) if state.exists else ([], [])
+        old_requests, old_answers, out = len(requests), len(answers), []
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if row.answer_id is None:
+                    asked = row.ts.to_pydatetime()
+                    expiry = None if pd.isna(row.expiry_ts) else row.expiry_ts.to_pydatetime()
+                    requests.append([row.request_id, asked, expiry, expiry if expiry is not None else asked + open_for, False])
+                else:
+                    answers.append([row.answer_id, row.ts.to_pydatetime()])
+        for i, request in enumerate(requests):
+            for j, (answer, at) in enumerate(answers):
+                if (i >= old_requests or j >= old_answers) and request[1] <= at <= request[3]:
+                    out.append((*key, *request[:3], answer, at))
+                    request[4] = True
+        now = dt.datetime.fromtimestamp(state.getCurrentWatermarkMs() / 1000, dt.timezone.utc).replace(tzinfo=None)
+        out += [(*key, *r[:3], None, None) for r in requests if r[3] < now and not r[4] and r[2] is not None]
+        requests = [tuple(r) for r in requests if r[3] >= now]
+        answers = [tuple(a) for a in answers if a[1] >= now]  # a request yet to come is later than these
+        if requests or answers:
+            state.update((requests, answers))
+            wake = min([r[3] for r in requests] + [a[1] for a in answers])
+            wake_ms = int(wake.replace(tzinfo=dt.timezone.utc).timestamp() * 1000) + 1
+            state.setTimeoutTimestamp(max(wake_ms, state.getCurrentWatermarkMs() + 1))
+        elif state.exists:
+            state.remove()
+        if out:
+            yield pd.DataFrame(out, columns=[f.split()[0] for f in PAIRED.split(", ")])
+
+    return settle
+
+
+def _pair(requests: DataFrame, responses: DataFrame, delay: str, open_for: dt.timedelta = OPEN_FOR) -> DataFrame:
     """Requests with each answer up to their own expiry, and without answer once that has passed.
 
     The bound is the expiry of each request, so state is held per request key and leaves when
-    the watermark passes the expiry; timestamps are in UTC.
+    the watermark passes the expiry; timestamps are in UTC.  A request without expiry is held
+    ``open_for`` after it was made, takes the answers of that time and never counts as expired.
     """
     none = lambda kind: F.lit(None).cast(kind)
     asked = requests.select(*REQUEST, F.col("requested_ts").alias("ts"), "request_id", "expiry_ts", none("string").alias("answer_id"))
     answered = responses.select(*REQUEST, F.col("answered_ts").alias("ts"), none("string").alias("request_id"), none("timestamp").alias("expiry_ts"), "answer_id")
     events = asked.unionByName(answered).withWatermark("ts", delay)
-    return events.groupBy(*REQUEST).applyInPandasWithState(_settle, PAIRED, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+    return events.groupBy(*REQUEST).applyInPandasWithState(_settler(open_for), PAIRED, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_rfp(requests: DataFrame, responses: DataFrame, delay: str = "1 day") -> DataFrame:
-    """Requests for payment with the answers that came before expiry; both inputs deduplicated."""
-    return _pair(requests, responses, delay).filter("answer_id is not null")
+def stream_rfp(requests: DataFrame, responses: DataFrame, delay: str = "1 day", open_for: dt.timedelta = OPEN_FOR) -> DataFrame:
+    """Requests for payment with the answers that came before expiry (or within ``open_for`` when
+    a request has none); both inputs deduplicated."""
+    return _pair(requests, responses, delay, open_for).filter("answer_id is not null")
 
 
 def stream_expiry(requests: DataFrame, responses: DataFrame, delay: str = "1 day") -> DataFrame:
