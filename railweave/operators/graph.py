@@ -47,14 +47,88 @@ def ubo_volume(txn: DataFrame, rel: DataFrame, owner: str) -> DataFrame:
     return txn.join(owned, "originator_party_id").agg(F.count("*").alias("txn_count"), F.sum(settled()).alias("volume"))
 
 
-def ubo_closure(rel: DataFrame) -> DataFrame:
-    """Effective ownership over all chains: product of shares along a path, summed over paths.
+def _owner_edges(rel: DataFrame) -> DataFrame:
+    return rel.filter((F.col("relationship_type") == "BENEFICIAL_OWNER") & F.col("ownership_percentage").isNotNull()).select(
+        F.col("party_id_b").alias("from"), F.col("party_id_a").alias("entity"), (F.col("ownership_percentage").cast("double") / 100).alias("share")) \
+        .where(F.col("from") != F.col("entity"))
 
-    A path never visits a party twice, so the walk ends by itself, whatever the depth.
+
+COUNT = "decimal(38,0)"  # paths are counted exactly up to 10^38; more than a long holds gives a null path_count
+
+
+def ubo_closure(rel: DataFrame, max_rounds: int = 256) -> DataFrame:
+    """Effective ownership over all simple paths: product of shares along a path, summed over paths.
+
+    A simple path meets each strongly connected component once, in one piece, so sums are
+    carried per (owner, party), never per path: paths are enumerated only inside components of
+    more than one party (cycles), as transfers from where a path enters to where it leaves.
+    Components: parties that are no source or sink are trimmed off round by round; among the
+    rest, reachability by squaring names each party's component by its least mutual member.
+    Then each round moves (owner, party) sums through one component and one edge between
+    components: rounds grow with the number of components on a path, rows with the owned pairs.
+    """
+    edges = cut_lineage(_owner_edges(rel))
+    core = edges.select("from", "entity")
+    for _ in range(max_rounds):
+        kept = core.join(core.select(F.col("from").alias("entity")).distinct(), "entity", "left_semi") \
+            .join(core.select(F.col("entity").alias("from")).distinct(), "from", "left_semi")
+        kept = cut_lineage(kept)
+        if kept.count() == core.count():
+            break
+        core = kept
+    else:
+        raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
+    reach = cut_lineage(core.select(F.col("from").alias("a"), F.col("entity").alias("b")).distinct())
+    for _ in range(max_rounds):
+        longer = reach.join(reach.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
+        grown = cut_lineage(reach.union(longer).distinct())
+        if grown.count() == reach.count():
+            break
+        reach = grown
+    else:
+        raise RuntimeError(f"reachability did not settle in {max_rounds} rounds")
+    mutual = reach.join(reach.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"])
+    comp = cut_lineage(mutual.groupBy(F.col("a").alias("party")).agg(F.min("b").alias("_m")).select(
+        "party", F.least("party", "_m").alias("comp")))
+    nodes = edges.select(F.col("from").alias("party")).union(edges.select(F.col("entity"))).distinct()
+    comp = cut_lineage(nodes.join(comp, "party", "left").select("party", F.coalesce("comp", "party").alias("comp")))
+    tagged = edges.join(comp.select(F.col("party").alias("from"), F.col("comp").alias("c_from")), "from") \
+        .join(comp.select(F.col("party").alias("entity"), F.col("comp").alias("c_to")), "entity")
+    inside = tagged.where(F.col("c_from") == F.col("c_to")).select("from", "entity", "share")
+    across = cut_lineage(tagged.where(F.col("c_from") != F.col("c_to")).select(F.col("from").alias("node"), F.col("entity").alias("next"), "share"))
+    # transfers inside cycles: every simple path between two members, enumerated there only
+    transfer = ubo_paths(inside).select(F.col("owner").alias("node"), F.col("entity").alias("to"),
+                                        F.col("effective_share").alias("t_s"), F.col("path_count").cast(COUNT).alias("t_c"), F.col("min_depth").alias("t_d"))
+    transfer = cut_lineage(transfer)
+    arrived = edges.select(F.col("from").alias("owner")).distinct().select("owner", F.col("owner").alias("node"),
+                                                                          F.lit(1.0).alias("s"), F.lit(1).cast(COUNT).alias("c"), F.lit(0).alias("d"))
+    found = None
+    for _ in range(max_rounds):
+        moved = arrived.join(transfer, "node").select("owner", F.col("to").alias("node"), (F.col("s") * F.col("t_s")).alias("s"),
+                                                      (F.col("c") * F.col("t_c")).alias("c"), (F.col("d") + F.col("t_d")).alias("d"))
+        settled = cut_lineage(arrived.unionByName(moved).groupBy("owner", "node").agg(
+            F.sum("s").alias("s"), F.sum("c").alias("c"), F.min("d").alias("d")))
+        here = settled.where(F.col("owner") != F.col("node"))
+        found = here if found is None else found.unionByName(here)
+        arrived = cut_lineage(settled.join(across, "node").groupBy("owner", F.col("next").alias("node")).agg(
+            F.sum(F.col("s") * F.col("share")).alias("s"), F.sum("c").alias("c"), F.min(F.col("d") + 1).alias("d")))
+        if arrived.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"ownership did not settle in {max_rounds} rounds")
+    total = found.groupBy("owner", F.col("node").alias("entity")).agg(
+        F.sum("s").alias("effective_share"), F.min("d").cast("int").alias("min_depth"), F.sum("c").alias("_c"))
+    return total.select("owner", "entity", "effective_share", "min_depth", F.col("_c").try_cast("long").alias("path_count"))
+
+
+def ubo_paths(edges: DataFrame) -> DataFrame:
+    """Every simple path of ``from, entity, share`` edges, enumerated, summed per (owner, entity).
+
+    A path never visits a party twice, so the walk ends by itself, whatever the depth.  Used
+    inside cycles only, and by tests as the plain form.
     """
-    edges = cut_lineage(rel.filter((F.col("relationship_type") == "BENEFICIAL_OWNER") & F.col("ownership_percentage").isNotNull()).select(
-        F.col("party_id_b").alias("from"), F.col("party_id_a").alias("entity"), (F.col("ownership_percentage").cast("double") / 100).alias("share")))
-    frontier = edges.filter(F.col("from") != F.col("entity")).select(
+    edges = cut_lineage(edges.where(F.col("from") != F.col("entity")))
+    frontier = edges.select(
         F.col("from").alias("owner"), "entity", "share", F.array("from", "entity").alias("path"))
     found = frontier.select("owner", "entity", "share", F.lit(1).alias("depth"))
     step = edges.select(F.col("from").alias("at"), F.col("entity").alias("next"), F.col("share").alias("next_share"))
