@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from .common import parts, store
 
-SHARD_ROWS = 65_536
-ANCHOR_BLOCK = 2_048
+SHARD_ROWS = 16_384
+ANCHOR_BLOCK = 512
 LEVELS = 4  # bit planes of an anchor's rotated vector
 TOP = 5
 
