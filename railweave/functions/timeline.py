@@ -1,7 +1,9 @@
 """Ordered work per key that survives a key holding a large part of all rows.
 
 A plain window sends one key to one task, and a sliding range frame re-reads its
-whole span for every row.  Here keys above ``hot_rows`` are cut into time slots:
+whole span for every row.  Here keys above ``hot_rows`` are cut into ``slots`` time slots of
+about equal row count, bounded by quantiles of the key's timestamps from a mergeable sketch
+(so a busy day of one key spreads over slots as well as a quiet year):
 slots are ordered among themselves by one small row each, and the answer of a row is
 its answer inside the slot combined with what earlier slots carry over.  Sliding
 sums are differences of running sums, so their cost does not grow with the span.
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 HOT_ROWS = 1_000_000
-SLOT_SECONDS = 86_400
+SLOTS = 256
 MICROS = 1_000_000
 
 
@@ -25,24 +27,37 @@ def micros(stamp: str) -> Column:
     return F.unix_micros(F.col(stamp).cast("timestamp"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows: at most ``count(df) / hot_rows`` of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys, F.lit(True).alias("_hot"))
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, at: Column, slots: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows (at most ``count(df) / hot_rows`` of them), each with
+    ``_bounds``: the ``slots - 1`` quantiles of ``at`` that cut it into slots of about equal rows.
+
+    The quantile sketch is merged from partial sketches, so a hot key is never gathered.
+    """
+    hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
+    if slots <= 1:
+        return hot.select(*keys, F.lit(True).alias("_hot"), F.array().cast("array<bigint>").alias("_bounds"))
+    fractions = [i / slots for i in range(1, slots)]
+    bounds = df.select(*keys, at.alias("_t")).join(hot, keys, "left_semi").groupBy(*keys).agg(
+        F.percentile_approx("_t", fractions, 10_000).alias("_bounds"))
+    return bounds.select(*keys, F.lit(True).alias("_hot"), "_bounds")
 
 
-def _slot(at: Column, seconds: int) -> Column:
-    """Time slot of a hot key's row; NULL keeps an ordinary key whole."""
-    return F.when(F.col("_hot"), F.floor(at / F.lit(seconds * MICROS)).cast("bigint"))
+def _slot(at: Column) -> Column:
+    """Slot of a hot key's instant: how many bounds lie at or before it; NULL keeps an ordinary key whole.
+
+    Bounds are values, so rows of one instant share a slot and slots keep the order of time.
+    """
+    return F.when(F.col("_hot"), F.size(F.filter("_bounds", lambda b: b <= at)).cast("bigint"))
 
 
 def neighbour(df: DataFrame, keys: list[str], order: list[str], values: list[str], following: bool = False,
-              hot_rows: int = HOT_ROWS, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+              hot_rows: int = HOT_ROWS, slots: int = SLOTS) -> DataFrame:
     """Add ``prev_<v>`` (or ``next_<v>``): the values of the adjacent row of the same key.
 
     ``order`` is total within a key and starts with a timestamp; keys are not NULL.
     """
     prefix = "next" if following else "prev"
-    rows = df.join(hot_keys(df, keys, hot_rows), keys, "left").withColumn("_slot", _slot(micros(order[0]), slot_seconds))
+    rows = df.join(hot_keys(df, keys, hot_rows, micros(order[0]), slots), keys, "left").withColumn("_slot", _slot(micros(order[0])))
     packed = F.struct(*[F.col(v).alias(f"{prefix}_{v}") for v in values])
     direction = [F.desc(o) if following else F.asc(o) for o in order]
     rows = rows.withColumn("_near", F.lag(packed).over(Window.partitionBy(*keys, "_slot").orderBy(*direction)))
@@ -56,9 +71,9 @@ def neighbour(df: DataFrame, keys: list[str], order: list[str], values: list[str
 
 
 def latest_before(df: DataFrame, keys: list[str], stamp: str, value: str, hot_rows: int = HOT_ROWS,
-                  slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+                  slots: int = SLOTS) -> DataFrame:
     """Add ``latest``: the newest non-NULL ``value`` struct of the key at or before each row."""
-    rows = df.join(hot_keys(df, keys, hot_rows), keys, "left").withColumn("_slot", _slot(micros(stamp), slot_seconds))
+    rows = df.join(hot_keys(df, keys, hot_rows, micros(stamp), slots), keys, "left").withColumn("_slot", _slot(micros(stamp)))
     inside = Window.partitionBy(*keys, "_slot").orderBy(micros(stamp)).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = F.when(F.col(value).isNotNull(), F.struct(F.col(stamp).alias("_at"), F.col(value).alias("_v")))
     rows = rows.withColumn("_mine", F.max(ranked).over(inside))
@@ -87,16 +102,16 @@ class Frame:
 
 
 def trailing(df: DataFrame, keys: list[str], row_id: str, stamp: str, measures: dict[str, Column],
-             frames: dict[str, Frame], hot_rows: int = HOT_ROWS, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+             frames: dict[str, Frame], hot_rows: int = HOT_ROWS, slots: int = SLOTS) -> DataFrame:
     """Per row (identified by unique ``row_id``) the sums of the named frames; zero when empty."""
     backs = sorted({f.back for f in frames.values()})
     at = micros(stamp)
-    base = df.join(hot_keys(df, keys, hot_rows), keys, "left").select(
-        *keys, row_id, "_hot", at.alias("_at"), *[m.alias(name) for name, m in measures.items()])
+    base = df.join(hot_keys(df, keys, hot_rows, at, slots), keys, "left").select(
+        *keys, row_id, "_hot", "_bounds", at.alias("_at"), *[m.alias(name) for name, m in measures.items()])
     marks = F.array(*[F.struct(F.lit(back).alias("back"), (F.col("_at") - back).alias("at")) for back in [0, *backs]])
     # a mark asks for the running sum at an earlier instant and adds nothing itself
-    events = base.select(*keys, row_id, "_hot", F.explode(marks).alias("_mark"), *measures).select(
-        *keys, row_id, F.col("_mark.back").alias("_back"), F.col("_mark.at").alias("_at"), _slot(F.col("_mark.at"), slot_seconds).alias("_slot"),
+    events = base.select(*keys, row_id, "_hot", "_bounds", F.explode(marks).alias("_mark"), *measures).select(
+        *keys, row_id, F.col("_mark.back").alias("_back"), F.col("_mark.at").alias("_at"), _slot(F.col("_mark.at")).alias("_slot"),
         *[F.when(F.col("_mark.back") == 0, F.col(m)).alias(m) for m in measures])
     spot = Window.partitionBy(*keys, "_slot").orderBy("_at")
     upto = spot.rangeBetween(Window.unboundedPreceding, Window.currentRow)

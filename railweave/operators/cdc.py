@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.timeline import HOT_ROWS, SLOT_SECONDS, neighbour
+from ..functions.timeline import HOT_ROWS, SLOTS, neighbour
 from ..session import cut_lineage
 from ..sources.schemas import BUSINESS_KEY as KEY
 from ..sources.schemas import CHANGE_ORDER
@@ -213,10 +213,10 @@ def snapshot_as_of(log: DataFrame, moment: dt.datetime) -> DataFrame:
     return latest_changes(seen).filter(F.col("_cdc_operation") != "D")
 
 
-def status_history(log: DataFrame, hot_rows: int = HOT_ROWS, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def status_history(log: DataFrame, hot_rows: int = HOT_ROWS, slots: int = SLOTS) -> DataFrame:
     """Validity interval of every status a key went through; repeats extend the interval."""
     order = ["_cdc_timestamp", "_cdc_sequence_id", "event_id"]
-    slots = {"hot_rows": hot_rows, "slot_seconds": slot_seconds}
+    slots = {"hot_rows": hot_rows, "slots": slots}
     rows = neighbour(log.select(*KEY, *order, "status"), KEY, order, ["status"], **slots)
     turns = rows.filter(~F.col("prev_status").eqNullSafe(F.col("status"))).select(*KEY, *order, "status")
     ends = neighbour(turns, KEY, order, ["_cdc_timestamp"], following=True, **slots)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.joins import left_lookup
 from ..functions.money import recent, settled, share
-from ..functions.timeline import HOT_ROWS, SLOT_SECONDS, latest_before
+from ..functions.timeline import HOT_ROWS, SLOTS, latest_before
 from ..sources.refdata import PAYMENT_TYPES, STATUS_CODES
 from ..sources.schemas import CHANGE_ORDER
 
@@ -110,7 +110,7 @@ def link_returns(txn: DataFrame) -> DataFrame:
         F.col("amount").alias("returned_amount"), F.col("original.amount").alias("original_amount"), "return_reason_code")
 
 
-def link_rfp(txn: DataFrame, days: int = 30, hot_rows: int = HOT_ROWS, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
+def link_rfp(txn: DataFrame, days: int = 30, hot_rows: int = HOT_ROWS, slots: int = SLOTS) -> DataFrame:
     """Each answer to a request for payment with the newest request at most ``days`` older."""
     instant = txn.filter(F.col("payment_type").isin("RTP", "FEDNOW"))
     answers = F.col("original_reference").isNotNull() & (F.col("status") != "RETURNED")
@@ -118,7 +118,7 @@ def link_rfp(txn: DataFrame, days: int = 30, hot_rows: int = HOT_ROWS, slot_seco
         "tenant_id", "payment_type", F.when(answers, F.col("original_reference")).otherwise(F.col("source_transaction_id")).alias("request_key"),
         "transaction_id", "transaction_ts", answers.alias("is_answer"),
         F.when(~answers, F.struct("transaction_id", F.col("transaction_ts").alias("requested_ts"))).alias("request"))
-    linked = latest_before(rows, ["tenant_id", "payment_type", "request_key"], "transaction_ts", "request", hot_rows, slot_seconds)
+    linked = latest_before(rows, ["tenant_id", "payment_type", "request_key"], "transaction_ts", "request", hot_rows, slots)
     late = F.col("latest.requested_ts") < F.col("transaction_ts") - F.make_dt_interval(F.lit(days))
     return linked.filter("is_answer and latest is not null").filter(~late).select(
         "tenant_id", "payment_type", F.col("transaction_id").alias("answer_transaction_id"),

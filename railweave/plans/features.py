@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import settled, share
-from ..functions.timeline import Frame, HOT_ROWS, SLOT_SECONDS, neighbour, ntile, ordered_rank, trailing
+from ..functions.timeline import Frame, HOT_ROWS, SLOTS, neighbour, ntile, ordered_rank, trailing
 from ..sources.refdata import MATCH_RULES, PAYMENT_TYPES
 
 DAY = 86_400

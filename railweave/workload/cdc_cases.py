@@ -168,7 +168,7 @@ ASC = "_cdc_timestamp, _cdc_sequence_id, event_id"
 c AS (SELECT *, lead(_cdc_timestamp) OVER (PARTITION BY {K} ORDER BY {ASC}) AS upto FROM l WHERE prev IS DISTINCT FROM status)
 SELECT {K}, status, CAST(_cdc_timestamp AS VARCHAR) AS valid_from, CAST(upto AS VARCHAR) AS valid_to, upto IS NULL AS is_current, event_id FROM c""")
 def _(t):
-    return cdc.status_history(t.txn, hot_rows=2, slot_seconds=300 * 86_400)
+    return cdc.status_history(t.txn, hot_rows=2, slots=3)
 
 
 @case("cdc_lag", "txn", """WITH m AS (SELECT source_system, date_sub('minute', _cdc_timestamp, _cdc_load_timestamp) AS l, date_sub('minute', _cdc_timestamp, ingestion_ts) AS s FROM txn)

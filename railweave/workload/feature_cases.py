@@ -11,7 +11,7 @@ import datetime as dt
 from ..plans import features as ft
 from .registry import ACTIVITY_AS_OF, case
 
-SLOTS = {"hot_rows": 66, "slot_seconds": 5 * 86_400}
+SLOTS = {"hot_rows": 66, "slots": 4}
 DAY = 86_400_000_000
 P = "PARTITION BY tenant_id, originator_party_id ORDER BY us"
 A = "a AS (SELECT *, epoch_us(transaction_ts) AS us FROM activity)"
@@ -164,7 +164,7 @@ def _(t):
 SELECT transaction_id, coalesce(lag(originator_routing_number) OVER (PARTITION BY tenant_id, originator_party_id, payment_type ORDER BY transaction_ts, transaction_id)
   <> originator_routing_number, FALSE) AS routing_change_flag FROM activity""")
 def _(t):
-    return ft.routing_change(t.activity, hot_rows=15, slot_seconds=5 * 86_400).select("transaction_id", "routing_change_flag")
+    return ft.routing_change(t.activity, hot_rows=15, slots=5).select("transaction_id", "routing_change_flag")
 
 
 @case("new_bene_high_amount", "activity", f"""WITH {A}, w AS (SELECT transaction_id, amount, {FIRST} AS fresh, {moments('amount', prior(90))} FROM a)

@@ -145,7 +145,7 @@ p AS (SELECT a.tenant_id, a.payment_type, a.transaction_id AS aid, q.transaction
 SELECT tenant_id, payment_type, aid AS answer_transaction_id, qid AS request_transaction_id, date_sub('hour', qts, ats) AS hours_to_answer
 FROM p WHERE rn = 1 AND qts >= ats - INTERVAL '400' DAY""")
 def _(t):
-    return views.link_rfp(t.txn, days=400, hot_rows=1, slot_seconds=100 * 86_400)
+    return views.link_rfp(t.txn, days=400, hot_rows=1, slots=3)
 
 
 @case("link_billpay", "txn", f"""WITH o AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY tenant_id, payment_type, source_transaction_id {NEWEST}) AS rn FROM txn WHERE payment_type IN ('ACH', 'RTP', 'FEDNOW', 'CHECK')) f WHERE rn = 1)

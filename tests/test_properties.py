@@ -121,12 +121,12 @@ def test_ownership_sums_paths_and_stops_at_cycles(spark):
     assert got[("o", "t")] == (0.65, 2) and ("o", "o") not in got
 
 
-@pytest.mark.parametrize("hot_rows", [0, 10, 10_000])
-def test_trailing_and_neighbour_match_brute_force(spark, hot_rows):
+@pytest.mark.parametrize("hot_rows, n_slots", [(0, 2), (0, 40), (10, 7), (10_000, 256)])
+def test_trailing_and_neighbour_match_brute_force(spark, hot_rows, n_slots):
     rng = random.Random(hot_rows)
     data = [(i, rng.choice("aab"), rng.randrange(40) * 3600 * 12, rng.randrange(100)) for i in range(150)]
     df = spark.createDataFrame(data, "id int, k string, s long, v int").withColumn("ts", F.timestamp_seconds("s"))
-    slots = {"hot_rows": hot_rows, "slot_seconds": 86_400}
+    slots = {"hot_rows": hot_rows, "slots": n_slots}  # equal-count slots of any number give the same answer
     frames = {"open": Frame("v", 86_400, closed=False), "closed": Frame("v", 86_400), "prior": Frame("v", 5 * 86_400, now=False)}
     got = {r.id: (r.open, r.closed, r.prior) for r in trailing(df, ["k"], "id", "ts", {"v": F.col("v")}, frames, **slots).collect()}
     near = {r.id: (r.prev_v, r.next_v) for r in neighbour(neighbour(df, ["k"], ["ts", "id"], ["v"], **slots), ["k"], ["ts", "id"], ["v"], following=True, **slots).collect()}
