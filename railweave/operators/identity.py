@@ -113,6 +113,31 @@ def resolution_events(resolved: DataFrame) -> DataFrame:
         rule.alias("resolution_method"), "block_key", F.col("resolution_confidence").alias("confidence_score"), compared.alias("match_attributes"))
 
 
+#: compared field -> (column of the queue row, column of the chosen account or its party)
+EVIDENCE = {"token": ("account_token", "account_number_token"), "routing": ("routing_number", "institution_routing_number"),
+            "last4": ("last4", "card_last_four"), "proxy": ("proxy_token", "proxy_value_token"), "name": ("name_token", "name_token")}
+
+
+def resolution_evidence(resolved: DataFrame, parties: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Per decision, what the row said (``actual_*``) beside what the chosen account and its
+    party hold (``expected_*``), for every compared field whatever the rule compared.
+
+    Only the narrow columns of accounts and parties are read; both are joined on their own
+    keys, so a much-chosen account is one row on the small side.  A new party or an
+    unresolved row has no chosen account: its expected values are null.
+    """
+    chosen = accounts.select("tenant_id", "account_id", *(F.col(a).alias(f"expected_{f}") for f, (_, a) in EVIDENCE.items() if a != "name_token"))
+    named = parties.select("tenant_id", "party_id", F.col("name_token").alias("expected_name"))
+    rows = resolved.filter(F.col("match_rule").isNotNull()).select(
+        "tenant_id", "transaction_id", "party_role", F.col("match_rule").alias("resolution_method"), "account_id",
+        F.when(F.col("match_rule") != "NEW_PARTY", F.col("party_id")).alias("_party"),
+        *(F.col(q).alias(f"actual_{f}") for f, (q, _) in EVIDENCE.items()))
+    joined = rows.join(chosen, ["tenant_id", "account_id"], "left").join(
+        named.withColumnRenamed("party_id", "_party"), ["tenant_id", "_party"], "left")
+    return joined.select("transaction_id", "party_role", "resolution_method", *(
+        c for f in EVIDENCE for c in (F.col(f"expected_{f}"), F.col(f"actual_{f}"))))
+
+
 WRITTEN = ("party_id", "account_id", "resolution_status", "resolution_confidence", "block_key", "match_rule")
 
 

@@ -92,6 +92,17 @@ def _(t):
         F.get_json_object("match_attributes", "$.last4.expected").alias("expected_last4"), F.get_json_object("match_attributes", "$.name_token.actual").alias("compared_name"))
 
 
+@case("resolution_evidence", TABLES, f"""WITH {RES} SELECT r.transaction_id, r.party_role, r.match_rule AS resolution_method,
+  a.account_number_token AS expected_token, r.account_token AS actual_token, a.institution_routing_number AS expected_routing, r.routing_number AS actual_routing,
+  a.card_last_four AS expected_last4, r.last4 AS actual_last4, a.proxy_value_token AS expected_proxy, r.proxy_token AS actual_proxy,
+  p.name_token AS expected_name, r.name_token AS actual_name
+FROM r LEFT JOIN party_account a ON a.tenant_id = r.tenant_id AND a.account_id = r.account_id
+LEFT JOIN party p ON p.tenant_id = r.tenant_id AND p.party_id = r.party_id AND r.match_rule <> 'NEW_PARTY' WHERE r.match_rule IS NOT NULL""")
+def _(t):
+    """Expected values are those of the chosen account and party, also for fields the rule did not compare."""
+    return ir.resolution_evidence(_resolved(t), t.party, t.party_account)
+
+
 @case("mark_identity_resolved", TABLES, f"""WITH {RES}
 SELECT s.transaction_id, o.party_id AS originator_party_id, o.match_rule AS originator_match_rule, coalesce(o.resolution_status, s.originator_resolution_status) AS originator_resolution_status,
   b.party_id AS beneficiary_party_id, b.block_key AS beneficiary_block_key, coalesce(b.resolution_status, s.beneficiary_resolution_status) AS beneficiary_resolution_status,
