@@ -27,14 +27,15 @@ def micros(stamp: str) -> Column:
     return F.unix_micros(F.col(stamp).cast("timestamp"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, at: Column, slots: int) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int, at: Column | None = None, slots: int = SLOTS) -> DataFrame:
     """Keys with more than ``hot_rows`` rows (at most ``count(df) / hot_rows`` of them), each with
     ``_bounds``: the ``slots - 1`` quantiles of ``at`` that cut it into slots of about equal rows.
 
     The quantile sketch is merged from partial sketches, so a hot key is never gathered.
+    Without ``at`` the keys come with no bounds (one slot each).
     """
     hot = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows).select(*keys)
-    if slots <= 1:
+    if at is None or slots <= 1:
         return hot.select(*keys, F.lit(True).alias("_hot"), F.array().cast("array<bigint>").alias("_bounds"))
     fractions = [i / slots for i in range(1, slots)]
     bounds = df.select(*keys, at.alias("_t")).join(hot, keys, "left_semi").groupBy(*keys).agg(
