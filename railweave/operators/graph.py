@@ -56,9 +56,17 @@ def _owner_edges(rel: DataFrame) -> DataFrame:
 COUNT = "decimal(38,0)"  # paths are counted exactly up to 10^38; more than a long holds gives a null path_count
 
 
-def ubo_closure(rel: DataFrame, max_rounds: int = 256) -> DataFrame:
+#: paths are listed while no round of the walk holds more than this many; beyond, components take over
+PATH_ROWS = 1_000_000
+
+
+def ubo_closure(rel: DataFrame, max_rounds: int = 256, path_rows: int = PATH_ROWS) -> DataFrame:
     """Effective ownership over all simple paths: product of shares along a path, summed over paths.
 
+    Shallow graphs with few paths are walked path by path (``ubo_paths``), which is cheapest
+    there; as soon as one round of that walk would hold more than ``path_rows`` paths, the walk
+    is dropped and the sums are carried by components instead.  Both give the same rows.
+
     A simple path meets each strongly connected component once, in one piece, so sums are
     carried per (owner, party), never per path: paths are enumerated only inside components of
     more than one party (cycles), as transfers from where a path enters to where it leaves.
@@ -68,18 +76,24 @@ def ubo_closure(rel: DataFrame, max_rounds: int = 256) -> DataFrame:
     components: rounds grow with the number of components on a path, rows with the owned pairs.
     """
     edges = cut_lineage(_owner_edges(rel))
-    core = edges.select("from", "entity")
+    listed = ubo_paths(edges, path_rows) if path_rows > 0 else None
+    if listed is not None:
+        return listed
+    core, size = edges.select("from", "entity"), edges.count()
     for _ in range(max_rounds):
         kept = core.join(core.select(F.col("from").alias("entity")).distinct(), "entity", "left_semi") \
             .join(core.select(F.col("entity").alias("from")).distinct(), "from", "left_semi")
         kept = cut_lineage(kept)
-        if kept.count() == core.count():
+        left = kept.count()
+        if left == size:
             break
-        core = kept
+        core, size = kept, left
     else:
         raise RuntimeError(f"trimming did not settle in {max_rounds} rounds")
     reach = cut_lineage(core.select(F.col("from").alias("a"), F.col("entity").alias("b")).distinct())
     for _ in range(max_rounds):
+        if not size:  # nothing left after trimming: no cycle
+            break
         longer = reach.join(reach.select(F.col("a").alias("b"), F.col("b").alias("c")), "b").select("a", F.col("c").alias("b"))
         grown = cut_lineage(reach.union(longer).distinct())
         if grown.count() == reach.count():
@@ -97,7 +111,7 @@ def ubo_closure(rel: DataFrame, max_rounds: int = 256) -> DataFrame:
     inside = tagged.where(F.col("c_from") == F.col("c_to")).select("from", "entity", "share")
     across = cut_lineage(tagged.where(F.col("c_from") != F.col("c_to")).select(F.col("from").alias("node"), F.col("entity").alias("next"), "share"))
     # transfers inside cycles: every simple path between two members, enumerated there only
-    transfer = ubo_paths(inside).select(F.col("owner").alias("node"), F.col("entity").alias("to"),
+    transfer = ubo_paths(inside if size else inside.limit(0)).select(F.col("owner").alias("node"), F.col("entity").alias("to"),
                                         F.col("effective_share").alias("t_s"), F.col("path_count").cast(COUNT).alias("t_c"), F.col("min_depth").alias("t_d"))
     transfer = cut_lineage(transfer)
     arrived = edges.select(F.col("from").alias("owner")).distinct().select("owner", F.col("owner").alias("node"),
@@ -121,11 +135,12 @@ def ubo_closure(rel: DataFrame, max_rounds: int = 256) -> DataFrame:
     return total.select("owner", "entity", "effective_share", "min_depth", F.col("_c").try_cast("long").alias("path_count"))
 
 
-def ubo_paths(edges: DataFrame) -> DataFrame:
+def ubo_paths(edges: DataFrame, limit_rows: int | None = None) -> DataFrame | None:
     """Every simple path of ``from, entity, share`` edges, enumerated, summed per (owner, entity).
 
     A path never visits a party twice, so the walk ends by itself, whatever the depth.  Used
-    inside cycles only, and by tests as the plain form.
+    for graphs with few paths, inside cycles, and by tests as the plain form.  With
+    ``limit_rows``, None as soon as one round holds more paths than that.
     """
     edges = cut_lineage(edges.where(F.col("from") != F.col("entity")))
     frontier = edges.select(
@@ -139,8 +154,15 @@ def ubo_paths(edges: DataFrame) -> DataFrame:
             ~F.array_contains("path", F.col("next"))).select(
             "owner", F.col("next").alias("entity"), (F.col("share") * F.col("next_share")).alias("share"),
             F.concat("path", F.array("next")).alias("path")))
-        if frontier.isEmpty():
-            break
+        if limit_rows is None:
+            if frontier.isEmpty():
+                break
+        else:
+            held = frontier.count()
+            if held > limit_rows:
+                return None
+            if held == 0:
+                break
         found = found.unionByName(frontier.select("owner", "entity", "share", F.lit(depth).alias("depth")))
     return found.groupBy("owner", "entity").agg(
         F.sum("share").alias("effective_share"), F.min("depth").alias("min_depth"), F.count("*").alias("path_count"))
