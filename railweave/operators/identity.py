@@ -190,15 +190,23 @@ def block_stats(accounts: DataFrame, top: int) -> DataFrame:
         F.desc("account_count"), "tenant_id", "block_key").limit(top)
 
 
-def dup_parties(parties: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Likely duplicates: same tax token, or any address in common, within a tenant.
+def dup_parties(parties: DataFrame, addresses: DataFrame, address_needs_name: bool = False) -> DataFrame:
+    """Likely duplicates: same tax token, or an address in common, within a tenant.
 
-    Every member points to the lowest id of its group, so a group of n gives n - 1 rows
-    instead of all its pairs.
+    With ``address_needs_name`` an address counts only together with the same name token
+    (reason ``NAME_ADDRESS``); parties without a name never meet that way.  Every member
+    points to the lowest id of its group, so a group of n gives n - 1 rows instead of all
+    its pairs.
     """
     taxed = parties.select("tenant_id", "party_id", F.lit("TAX_TOKEN").alias("reason"), F.col("tax_id_token").alias("evidence"))
-    located = parties.select("tenant_id", "party_id").join(addresses.select("party_id", "address_line1_token").distinct(), "party_id").select(
-        "tenant_id", "party_id", F.lit("ADDRESS").alias("reason"), F.col("address_line1_token").alias("evidence"))
+    if address_needs_name:
+        reason = F.lit("NAME_ADDRESS")
+        evidence = F.when(F.col("name_token").isNotNull() & F.col("address_line1_token").isNotNull(),
+                          F.concat_ws("|", "name_token", "address_line1_token"))
+    else:
+        reason, evidence = F.lit("ADDRESS"), F.col("address_line1_token")
+    located = parties.select("tenant_id", "party_id", "name_token").join(addresses.select("party_id", "address_line1_token").distinct(), "party_id").select(
+        "tenant_id", "party_id", reason.alias("reason"), evidence.alias("evidence")).distinct()
     rows = taxed.unionByName(located).filter("evidence is not null")
     lowest = rows.groupBy("tenant_id", "reason", "evidence").agg(F.min("party_id").alias("keep_party_id"), F.count("*").alias("group_size")).filter("group_size > 1")
     return rows.join(lowest, ["tenant_id", "reason", "evidence"]).filter("party_id <> keep_party_id").select(

@@ -176,3 +176,13 @@ def test_unbounded_scan_is_refused(txn):
         storage.scan_silver(txn, None, None)
     with pytest.raises(ValueError):
         storage.tenant_scan(txn, "")
+
+
+def test_address_counts_with_the_name_only_when_asked(spark):
+    parties = spark.createDataFrame([("t", "p1", "n1", None), ("t", "p2", "n1", None), ("t", "p3", "n2", None), ("t", "p4", None, None)],
+                                    "tenant_id string, party_id string, name_token string, tax_id_token string")
+    addresses = spark.createDataFrame([("p1", "a"), ("p2", "a"), ("p3", "a"), ("p4", "a"), ("p1", "b")], "party_id string, address_line1_token string")
+    loose = rows(identity.dup_parties(parties, addresses))
+    named = rows(identity.dup_parties(parties, addresses, address_needs_name=True))
+    assert loose == [("t", "ADDRESS", "p1", "p2", 4), ("t", "ADDRESS", "p1", "p3", 4), ("t", "ADDRESS", "p1", "p4", 4)]
+    assert named == [("t", "NAME_ADDRESS", "p1", "p2", 2)]
