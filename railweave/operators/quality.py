@@ -232,10 +232,13 @@ def attach_dq_flags(df: DataFrame, rules: Rules | None = None) -> DataFrame:
         "dq_flags_json", F.when(F.col("_flags") != "", F.concat(F.lit('["'), F.col("_flags"), F.lit('"]')))).drop("_flags")
 
 
+def split_flagged(flagged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return flagged.filter("dq_flags_json is null"), flagged.filter("dq_flags_json is not null")
+
+
 def split_valid(df: DataFrame, rules: Rules | None = None) -> tuple[DataFrame, DataFrame]:
     """Clean rows and rows for quarantine."""
-    flagged = attach_dq_flags(df, rules)
-    return flagged.filter("dq_flags_json is null"), flagged.filter("dq_flags_json is not null")
+    return split_flagged(attach_dq_flags(df, rules))
 
 
 def dq_scorecard(df: DataFrame, rules: Rules | None = None) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.money import is_inflow, is_outflow, sum_if
 from ..operators import cdc, identity
-from ..operators.quality import Rules, split_valid
+from ..operators.quality import Rules, attach_dq_flags, split_flagged
 from ..session import stored
 from ..sources.schemas import BUSINESS_KEY
 from ..sources import versioned
@@ -240,10 +240,10 @@ def start_dq(sdf: DataFrame, good: str, bad: str, checkpoint: str, rules: Rules
     good_sink, bad_sink = batch_sink(good), batch_sink(bad)
 
     def split(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        clean, broken = split_valid(batch, rules)
+        flagged = attach_dq_flags(batch, rules).persist()
+        clean, broken = split_flagged(flagged)
         good_sink(clean, batch_id)
         bad_sink(broken, batch_id)
-        batch.unpersist()
+        flagged.unpersist()
 
     return start(sdf, split, checkpoint, available_now=available_now)
