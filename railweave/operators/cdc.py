@@ -29,11 +29,16 @@ def latest_changes(changes: DataFrame, keys: list[str] = KEY, order: list[str] =
     return changes.withColumn("_rn", F.row_number().over(newest)).filter("_rn = 1").drop("_rn")
 
 
-def latest_changes_agg(changes: DataFrame, keys: list[str] = KEY, order: list[str] = CHANGE_ORDER) -> DataFrame:
-    """The same by aggregation with map-side combine."""
-    rest = [c for c in changes.columns if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(*order)).alias("_best")
-    return changes.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*changes.columns)
+def latest_changes_agg(changes: DataFrame, keys: list[str] = KEY, order: list[str] = CHANGE_ORDER,
+                       columns: list[str] | None = None) -> DataFrame:
+    """The same by aggregation with map-side combine.
+
+    The row travels packed in the aggregate, where unused columns cannot be pruned: name the
+    ``columns`` wanted and no other moves.
+    """
+    columns = changes.columns if columns is None else columns
+    best = F.max_by(F.struct(*[c for c in columns if c not in keys]), F.struct(*order)).alias("_best")
+    return changes.groupBy(*keys).agg(best).select(*keys, "_best.*").select(*columns)
 
 
 def is_newer(s: str = "_s", t: str = "_t", numeric_sequence: bool = False) -> Column:

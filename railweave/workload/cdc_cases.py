@@ -52,7 +52,7 @@ def _(t):
 
 @case("latest_changes_agg", "txn", f"SELECT {SHOWN} FROM ({newest('txn')}) n")
 def _(t):
-    return cdc.latest_changes_agg(t.txn).select(*SHOW)
+    return cdc.latest_changes_agg(t.txn, columns=SHOW).select(*SHOW)
 
 
 @case("merge_cdc", "txn", f"WITH {merged('ordered')} SELECT {SHOWN} FROM m")

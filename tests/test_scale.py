@@ -57,3 +57,11 @@ def test_requests_pair_in_buckets_not_one_state_per_key(spark, tmp_path):
     met = {q for q, _ in pairs}
     assert sorted(r.request_id for r in found if not r.answer_id) == sorted(q[3] for q in asked if q[5] and q[5] < hour(176) and q[3] not in met)
     assert {(r.requested_ts, r.expiry_ts) for r in found if r.request_id == "q1"} == {(hour(10), hour(14))}
+
+
+def test_aggregated_newest_change_packs_only_the_named_columns(spark):
+    rows = spark.createDataFrame([change("a", 1, "I", 1), change("a", 2, "U", 2), change("b", 1, "D", 3)], SCHEMA)
+    newest = cdc.latest_changes_agg(rows, columns=["source_transaction_id", "amount"])
+    assert sorted(map(tuple, newest.collect())) == [("a", 2), ("b", 3)]
+    assert cdc.latest_changes_agg(rows).columns == rows.columns
+    assert "note" not in newest._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
