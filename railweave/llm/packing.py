@@ -14,11 +14,13 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -30,18 +32,65 @@ WINDOW = 4096
 END = 2
 CELL_PIECES = 2_000
 CACHED_WORDS = 1_000_000  # a memory bound of the lookup of words met before, nothing else
+SLICE_BYTES = 4 << 20  # texts are split and looked up in runs of about this size
+
+
+class _Words:
+    """Ids of every word met so far, end to end in one array, and the place of each word in it."""
+
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.encode_special_tokens = True  # their spellings inside a text are ordinary text
+        self.clear()
+
+    def clear(self) -> None:
+        self.place, self.ids, self.ends = {}, np.zeros(0, "<u4"), np.zeros(1, np.int64)
+
+    def places(self, words: np.ndarray) -> np.ndarray:
+        """Number k of each of the distinct ``words``: its ids are ``ids[ends[k]:ends[k + 1]]``."""
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(at < 0)
+        if len(self.place) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = np.arange(len(words))
+        at[new] = np.arange(len(new)) + len(self.place)
+        for i in range(0, len(new), 20_000):
+            part = words[new[i:i + 20_000]].tolist()
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, got), np.int64, len(got))
+            self.place.update(zip(part, range(len(self.place), len(self.place) + len(part))))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(got), "<u4", int(sizes.sum()))])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        return at
 
 
 @lru_cache(maxsize=2)
-def _load(path: str):
-    import os
+def _load(path: str) -> _Words:
+    return _Words(path)
+
+
+def _slices(text: pa.Array) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``SLICE_BYTES`` of text, or of one longer text."""
+    run = np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False).astype(np.int64)) // SLICE_BYTES
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1).tolist(), len(text)]
+    return ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # their spellings inside a text are ordinary text
-    return tokenizer, {}
+def _encoded(text: pa.Array, known: _Words, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts end to end, each text closed by ``end``, and the number of ids of each."""
+    words = pc.split_pattern(pc.replace_substring(text, "\n", " "), " ")
+    coded = words.flatten().dictionary_encode()
+    at = known.places(coded.dictionary.to_numpy(zero_copy_only=False))[coded.indices.to_numpy()]
+    first, sizes = known.ends[at], known.ends[at + 1] - known.ends[at]
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    ids = known.ids[np.repeat(first - before[:-1], sizes) + np.arange(before[-1])]
+    stops = before[np.cumsum(pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64))]
+    return np.insert(ids, stops, end), np.diff(stops, prepend=0) + 1
 
 
 def pieces(docs: DataFrame, path: str = VOCABULARY, window: int = WINDOW, end: int = END) -> DataFrame:
@@ -49,32 +98,29 @@ def pieces(docs: DataFrame, path: str = VOCABULARY, window: int = WINDOW, end: i
 
     ``ids`` holds little-endian unsigned 32-bit numbers.  A null or empty text is ``end`` alone.
     The tokenizer drops white space and never joins across it, so the words between plain
-    spaces and line feeds are encoded once each and looked up after that.
+    spaces and line feeds are encoded once each and looked up after that, once for all their
+    places in a run of texts.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, cache = _load(path)
-        stop = end.to_bytes(4, "little")
+        known = _load(path)
         for whole in batches:
-            for at in range(0, whole.num_rows, 500):
-                batch = whole.slice(at, 500)
-                words = [t.replace("\n", " ").split(" ") if t else [] for t in batch.column("text").to_pylist()]
-                new = set().union(*words).difference(cache)
-                if len(cache) + len(new) > CACHED_WORDS:
-                    cache.clear()
-                    new = set().union(*words)
-                new = list(new)
-                for i in range(0, len(new), 20_000):
-                    part = new[i:i + 20_000]
-                    for word, got in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                        cache[word] = np.array(got.ids, "<u4").tobytes()
-                out = []
-                for doc, own in zip(batch.column("doc_id").to_pylist(), words):
-                    ids = b"".join(map(cache.__getitem__, own)) + stop
-                    n = len(ids) // 4
-                    out += [(doc, s, min(window, n - s), ids[4 * s:4 * (s + window)], n) for s in range(0, n, window)]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()))],
-                                                 ["doc_id", "start", "length", "ids", "doc_tokens"])
+            for a, b in _slices(whole.column("text")):
+                batch = whole.slice(a, b - a)
+                ids, n = _encoded(batch.column("text"), known, end)
+                many = -(-n // window)
+                of = np.repeat(np.arange(len(n)), many)
+                start = (np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)) * window
+                length = np.minimum(window, n[of] - start)
+                doc, upto = batch.column("doc_id").take(pa.array(of)), np.concatenate([[0], np.cumsum(length)])
+                # pieces lie end to end in ids; a batch stays below the 2 GB that its offsets can name
+                step = max(1, (1 << 28) // window)
+                for i in range(0, len(of), step):
+                    j = min(i + step, len(of))
+                    own = ids[upto[i]:upto[j]].astype("<u4")
+                    cut = pa.Array.from_buffers(pa.binary(), j - i, [None, pa.py_buffer((4 * (upto[i:j + 1] - upto[i])).astype(np.int32)), pa.py_buffer(own)])
+                    yield pa.RecordBatch.from_arrays([doc[i:j], pa.array(start[i:j]), pa.array(length[i:j]), cut, pa.array(n[of[i:j]])],
+                                                     ["doc_id", "start", "length", "ids", "doc_tokens"])
 
     schema = StructType([StructField(n, BinaryType() if n == "ids" else LongType()) for n in ("doc_id", "start", "length", "ids", "doc_tokens")])
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

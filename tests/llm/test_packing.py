@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -58,3 +59,23 @@ def test_plain_cases(spark, lengths):
     assert sorted(r.length for r in got) == sorted(lengths)
     best = {0: 0, 5000: 2, 3: 3, 50: 50}[len(lengths)]
     assert len({r.sequence_id for r in got}) == best
+
+
+def test_words_are_looked_up_once_for_all_their_places_in_a_run(monkeypatch):
+    texts = [None, "", "one two one", "two\none  Straße", "x" * 100, None, "a\tb " * 50, " "]
+    known, asked = packing._Words(packing.VOCABULARY), []
+    monkeypatch.setattr(known, "places", lambda words, real=known.places: asked.append(len(words)) or real(words))
+    ids, n = packing._encoded(pa.array(texts), known, packing.END)
+    assert ids.tolist() == sum(map(expected, texts), []) and n.tolist() == [len(expected(t)) for t in texts]
+    assert asked == [len({w for t in texts if t is not None for w in t.replace("\n", " ").split(" ")})]
+
+
+def test_runs_of_texts_and_forgotten_words_change_nothing(monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_BYTES", 40)
+    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+    texts = pa.array(["alpha beta gamma", None, "delta " * 30, "", "beta é epsilon zeta eta", "alpha"])
+    runs = list(packing._slices(texts))
+    assert [i for a, b in runs for i in range(a, b)] == list(range(len(texts))) and len(runs) > 2
+    known = packing._Words(packing.VOCABULARY)
+    got = sum((packing._encoded(texts.slice(a, b - a), known, packing.END)[0].tolist() for a, b in runs), [])
+    assert got == sum(map(expected, texts.to_pylist()), []) and list(packing._slices(texts.slice(0, 0))) == []
