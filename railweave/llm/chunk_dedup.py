@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import store
+
 WINDOW = 32  # bytes that decide one gear hash
 MASK_BITS = 11
 MIN_CHUNK, MAX_CHUNK = 256, 8192
@@ -79,46 +81,56 @@ def cuts(data: bytes, min_chunk: int = MIN_CHUNK, max_chunk: int = MAX_CHUNK) ->
     return ends
 
 
-def chunked(docs: DataFrame, name_bytes: int = 32) -> DataFrame:
-    """``_row, names, chunks`` for ``_row, norm``: the chunk names and bytes of each text, in order.
+def chunked(docs: DataFrame, name_bytes: int = 32, with_bytes: bool = True) -> DataFrame:
+    """``_row, doc_id, text_sha256, names`` for ``_row, doc_id, norm``: the chunk names of each text, in
+    order, and with ``with_bytes`` the ``chunks`` they stand for.
 
     ``name_bytes`` shortens the SHA-256 names; tests use it to provoke clashes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, names, chunks = batch.column("_row"), [], []
+            digests, names, chunks = [], [], []
             for text in batch.column("norm").to_pylist():
                 data = text.encode("utf-8")
                 pieces, start = [], 0
                 for end in cuts(data):
                     pieces.append(data[start:end])
                     start = end
-                chunks.append(pieces)
+                chunks.append(pieces if with_bytes else None)
                 names.append([hashlib.sha256(p).digest()[:name_bytes] for p in pieces])
-            yield pa.RecordBatch.from_arrays([rows, pa.array(names, pa.list_(pa.binary())), pa.array(chunks, pa.list_(pa.binary()))], ["_row", "names", "chunks"])
+                digests.append(hashlib.sha256(data).hexdigest())
+            columns = [batch.column("_row"), batch.column("doc_id"), pa.array(digests, pa.string()), pa.array(names, pa.list_(pa.binary()))]
+            fields = ["_row", "doc_id", "text_sha256", "names"]
+            if with_bytes:
+                columns, fields = [*columns, pa.array(chunks, pa.list_(pa.binary()))], [*fields, "chunks"]
+            yield pa.RecordBatch.from_arrays(columns, fields)
 
-    return docs.select("_row", "norm").mapInArrow(run, "_row long, names array<binary>, chunks array<binary>")
+    schema = "_row long, doc_id long, text_sha256 string, names array<binary>" + (", chunks array<binary>" if with_bytes else "")
+    return docs.select("_row", "doc_id", "norm").mapInArrow(run, schema)
 
 
-def recipes(made: DataFrame) -> DataFrame:
-    """``_row, recipe``: verified names of each row's chunks in order.
+def recipes(rows: DataFrame, name_bytes: int = 32) -> DataFrame:
+    """``_row, doc_id, text_sha256, recipe``: verified names of each text's chunks in order.
 
     Distinct (name, bytes) pairs are counted per name; a name with more than one byte string
-    clashes and is replaced by the bytes it stands for in every recipe that holds it.
+    clashes and is replaced by the bytes it stands for in every recipe that holds it.  Only that
+    check needs the bytes, so without a clash the recipes come from names alone.
     """
+    made = chunked(rows, name_bytes)
     pairs = made.select(F.explode(F.arrays_zip("names", "chunks")).alias("c")).select(F.col("c.names").alias("name"), F.col("c.chunks").alias("chunk"))
     clashes = pairs.distinct().groupBy("name").count().where(F.col("count") > 1).select(F.col("name").alias("clash"))
     found = clashes.count()
+    own = ["_row", "doc_id", "text_sha256"]
     if found == 0:
-        return made.select("_row", F.col("names").alias("recipe"))
+        return chunked(rows, name_bytes, with_bytes=False).select(*own, F.col("names").alias("recipe"))
     lookup = F.broadcast(clashes) if found <= BROADCAST_CLASHES else clashes
-    each = made.select("_row", F.posexplode(F.arrays_zip("names", "chunks")).alias("pos", "c"))
+    each = made.select(*own, F.posexplode(F.arrays_zip("names", "chunks")).alias("pos", "c"))
     fixed = each.join(lookup, each["c.names"] == lookup["clash"], "left").select(
-        "_row", "pos", F.when(F.col("clash").isNull(), F.col("c.names")).otherwise(F.col("c.chunks")).alias("id"))
-    listed = fixed.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("l"))
-    plain = made.where(F.size("names") == 0).select("_row", F.col("names").alias("recipe"))
-    return listed.select("_row", F.col("l.id").alias("recipe")).unionByName(plain)
+        *own, "pos", F.when(F.col("clash").isNull(), F.col("c.names")).otherwise(F.col("c.chunks")).alias("id"))
+    listed = fixed.groupBy(*own).agg(F.sort_array(F.collect_list(F.struct("pos", "id"))).alias("l"))
+    plain = made.where(F.size("names") == 0).select(*own, F.col("names").alias("recipe"))
+    return listed.select(*own, F.col("l.id").alias("recipe")).unionByName(plain)
 
 
 def exact_groups(docs: DataFrame, salts: int = SALTS, name_bytes: int = 32) -> DataFrame:
@@ -133,9 +145,8 @@ def exact_groups(docs: DataFrame, salts: int = SALTS, name_bytes: int = 32) -> D
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), normalised(F.col("text")).alias("norm")) \
         .withColumn("_row", F.monotonically_increasing_id())
-    base = rows.select("_row", "doc_id", F.sha2("norm", 256).alias("text_sha256"),
-                       F.pmod(F.xxhash64("_row"), F.lit(salts)).alias("_salt"))
-    keyed = base.join(recipes(chunked(rows, name_bytes)), "_row")
+    # the recipes are read twice below and cost a pass over all texts: they are stored, narrow
+    keyed = store(recipes(rows, name_bytes), "recipes").withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(salts)))
     first = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").alias("d"), F.col("_row").alias("r"))
     part = keyed.groupBy("recipe", "_salt").agg(F.count(F.lit(1)).alias("_n"), F.min(first).alias("_first"))
     total = part.groupBy("recipe").agg(F.sum("_n").alias("group_size"), F.min("_first").alias("_keep"))

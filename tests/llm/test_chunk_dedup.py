@@ -57,3 +57,15 @@ def test_cuts_are_content_defined():
     shifted = {e - 6 for e in b}
     assert len(set(a[3:-1]) & shifted) >= len(a[3:-1]) - 1
     assert chunk_dedup.cuts(b"") == [] and chunk_dedup.cuts(b"\0" * 20_000)[-1] == 20_000
+
+
+def test_recipes_come_from_names_alone_and_the_digest_from_the_same_pass(spark):
+    rows = [(1, "word " * 900), (2, ""), (3, "Straße")]
+    df = spark.createDataFrame(rows, "doc_id long, norm string").selectExpr("doc_id", "norm", "doc_id AS _row")
+    both, names = chunk_dedup.chunked(df), chunk_dedup.chunked(df, with_bytes=False)
+    assert names.columns == ["_row", "doc_id", "text_sha256", "names"] and both.columns == [*names.columns, "chunks"]
+    got = {r.doc_id: r for r in both.collect()}
+    for r in names.collect():
+        text = dict(rows)[r.doc_id].encode()
+        assert b"".join(map(bytes, got[r.doc_id].chunks)) == text and r.names == got[r.doc_id].names
+        assert r.text_sha256 == hashlib.sha256(text).hexdigest()
