@@ -6,6 +6,8 @@ tokenizers' own offsets: A's character offsets and B's proto spans (source bytes
 cuts; where several tokens share one coarse span (a character split over byte tokens, B's
 ``<0xHH>`` fallback) the decoded bytes refine the cut.  The refined spans must tile space+text
 exactly and the joined bytes must equal it, else the text counts as unaligned (no tokens).
+Texts are aligned in stretches that end before plain spaces, where both tokenizers end a token;
+a stretch is encoded and aligned once per worker and looked up after that.
 
 Offsets where both sequences end a token cut them into groups; every pair of an A and a B token
 whose byte ranges overlap is a link.  Corpus-wide counts of (A id, B id) pairs count documents;
@@ -17,8 +19,10 @@ from __future__ import annotations
 
 import hashlib
 import operator
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
@@ -30,6 +34,7 @@ from .common import store
 
 A_FILE, B_FILE = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SALTS = 64
+CACHED = 600_000  # a memory bound of the lookup of stretches met before, nothing else
 
 ALIGNED = ("_row long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
            "pairs array<struct<a:int,b:int,m:long>>")
@@ -79,11 +84,6 @@ def _flat(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64), lengths
 
 
-@lru_cache(maxsize=2)
-def _tools(a_path: str, b_path: str) -> Tools:
-    return Tools(a_path, b_path)
-
-
 def _refined(starts: np.ndarray, coarse: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
     """Token ends in bytes.  A token whose coarse span is empty, or that ends where the next one
     ends, shares its cut with what follows (a character split into byte tokens); within such a
@@ -104,32 +104,128 @@ def _spells(flat: np.ndarray, start: np.ndarray, length: np.ndarray, ids: np.nda
     return bool(np.array_equal(flat[at], target))
 
 
-def align_text(text: str | None, tools: Tools) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
-    """A ids, A byte ends, B ids, B byte ends in space+text; None when the text has no tokens
-    (null, empty, or joined bytes that are not space+text)."""
-    if not text:
-        return None
-    target = np.frombuffer((" " + text).encode("utf-8"), np.uint8)
+#: Before a space that follows a character other than white space and is not the text's last
+#: character, both tokenizers end a token whatever stands around it: A's pattern lets only a token's
+#: first characters be white space, and no piece of B has white space after another character.
+_CUT = re.compile(r"(?<=\S)(?= .)", re.S)
+
+
+def segments(text: str) -> list[str]:
+    """space+text in stretches that both tokenizers encode alike alone and in the text."""
+    return _CUT.split(" " + text)
+
+
+def align_run(run: list[str], tools: Tools) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """A ids, A byte ends, B ids, B byte ends in the joined ``run`` of stretches, each encoded by
+    itself; None when the joined bytes of some stretch's tokens are not the stretch."""
+    data = "".join(run).encode("utf-8")
+    target = np.frombuffer(data, np.uint8)
     char_at = np.append(np.flatnonzero((target & 0xC0) != 0x80), len(target))  # byte offset of each character
-    enc = tools.a.encode(" " + text, add_special_tokens=False)
-    a_ids = np.array(enc.ids, np.int64)
-    if len(a_ids) == 0 or not tools.a_known[a_ids].all() or not _spells(tools.a_flat, tools.a_start, tools.a_len, a_ids, target):
+    sizes = np.fromiter(map(len, run), np.int64, len(run))
+    first = np.cumsum(sizes) - sizes  # first character of each stretch
+    found = tools.a.encode_batch(run, add_special_tokens=False)
+    many = np.fromiter(map(len, found), np.int64, len(run))
+    a_ids = np.fromiter(chain.from_iterable(e.ids for e in found), np.int64, int(many.sum()))
+    if not many.all() or not tools.a_known[a_ids].all() or not _spells(tools.a_flat, tools.a_start, tools.a_len, a_ids, target):
         return None
-    spans = char_at[np.array(enc.offsets, np.int64).reshape(-1, 2)]
+    spans = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in found)), np.int64, 2 * len(a_ids)).reshape(-1, 2)
+    spans = char_at[spans + np.repeat(first, many)[:, None]]
     a_ends = _refined(spans[:, 0], spans[:, 1], tools.a_len[a_ids])
-    pieces = tools.b.encode(text, return_type="proto").pieces
-    b_rows = np.array(list(map(_SPAN, pieces)), np.int64).reshape(-1, 3)
+    pieces = [p.pieces for p in tools.b.encode([s[1:] for s in run], return_type="proto", num_threads=1)]
+    many = np.fromiter(map(len, pieces), np.int64, len(run))
+    b_rows = np.fromiter(chain.from_iterable(map(_SPAN, chain.from_iterable(pieces))), np.int64, 3 * int(many.sum())).reshape(-1, 3)
     b_ids = b_rows[:, 0]
-    if len(b_ids) == 0 or not _spells(tools.b_flat, tools.b_start, tools.b_len, b_ids, target):
+    if not many.all() or not _spells(tools.b_flat, tools.b_start, tools.b_len, b_ids, target):
         return None
-    b_ends = _refined(b_rows[:, 1] + 1, b_rows[:, 2] + 1, tools.b_len[b_ids])  # +1: the space B adds
+    base = np.repeat(char_at[first], many) + 1  # +1: the space B adds
+    b_ends = _refined(b_rows[:, 1] + base, b_rows[:, 2] + base, tools.b_len[b_ids])
     if a_ends is None or b_ends is None:
         return None
     return a_ids, a_ends, b_ids, b_ends
 
 
-def groups_and_links(a_ids, a_ends, b_ids, b_ends) -> tuple[str, int, np.ndarray, np.ndarray]:
-    """The spelled groups (``a1,a2|b1;a3|b2,b3``), their number, and the A and B id of every link.
+def align_text(text: str | None, tools: Tools) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None:
+    """A ids, A byte ends, B ids, B byte ends in space+text, encoded whole; None when the text has no
+    tokens (null, empty, or joined bytes that are not space+text)."""
+    return align_run([" " + text], tools) if text else None
+
+
+class Known:
+    """What is known of every stretch met so far: its spelled groups, counts and links.
+
+    Both sequences end a token where a stretch ends, so no group or link reaches over it and a
+    text's groups and links are those of its stretches in order.
+    """
+
+    def __init__(self, tools: Tools):
+        self.tools = tools
+        self.clear()
+
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.spelled: list[str | None] = []
+        self.counts = np.zeros((0, 3), np.int64)  # A tokens, B tokens, groups
+        self.link_ends, self.links = np.zeros(1, np.int64), np.zeros(0, np.int64)
+
+    def places(self, run: list[str]) -> np.ndarray:
+        """Number of each stretch of ``run``, learning the new ones."""
+        at = np.fromiter(map(self.place.get, run, repeat(-1)), np.int64, len(run))
+        new = list({run[i] for i in np.flatnonzero(at < 0).tolist()})
+        if not new:
+            return at
+        if len(self.place) + len(new) > CACHED:
+            self.clear()
+            new = list(set(run))
+        for i in range(0, len(new), 10_000):
+            self._learn(new[i:i + 10_000])
+        return np.fromiter(map(self.place.__getitem__, run), np.int64, len(run))
+
+    def _learn(self, run: list[str]) -> None:
+        found = align_run(run, self.tools)
+        if found is None and len(run) > 1:  # some stretch has no tokens: halve until it is alone
+            self._learn(run[:len(run) // 2])
+            self._learn(run[len(run) // 2:])
+            return
+        self.place.update(zip(run, range(len(self.place), len(self.place) + len(run))))
+        if found is None:
+            self.spelled.append(None)
+            self.counts = np.concatenate([self.counts, np.zeros((1, 3), np.int64)])
+            self.link_ends = np.append(self.link_ends, self.link_ends[-1])
+            return
+        words, common, cuts, link_a, link_b = _grouped(*found)
+        ends = np.cumsum(np.fromiter((len(s.encode("utf-8")) for s in run), np.int64, len(run)))
+        upto = np.stack([np.searchsorted(x, ends, "right") for x in (found[1], found[3], common, cuts)], 1)
+        counts = np.diff(upto, axis=0, prepend=0)
+        stops = (upto[:, 0] + upto[:, 1]).tolist()
+        self.spelled += ["".join(words[x:y])[:-1] for x, y in zip([0, *stops], stops)]
+        self.counts = np.concatenate([self.counts, counts[:, :3]])
+        self.link_ends = np.concatenate([self.link_ends, self.link_ends[-1] + upto[:, 3]])
+        self.links = np.concatenate([self.links, (link_a << 32) | link_b])
+
+
+def align_texts(texts: list[str | None], known: Known) -> Iterator[tuple[tuple[int, int, int, int], str, np.ndarray, np.ndarray]]:
+    """Per text: numbers of A tokens, B tokens, groups and links; the spelled groups; the distinct
+    linked pairs (A id above B id) with how often each is linked.  Zeros and ``''`` when the text
+    has no tokens (null, empty, or joined bytes that are not space+text)."""
+    runs = [segments(t) if t else [] for t in texts]
+    at = known.places(list(chain.from_iterable(runs)))
+    counts, begin, many = known.counts[at], known.link_ends[at], np.diff(known.link_ends)[at]
+    before = np.concatenate([[0], np.cumsum(many)])
+    links = known.links[np.repeat(begin - before[:-1], many) + np.arange(before[-1])]
+    stop = 0
+    for run in runs:
+        start, stop = stop, stop + len(run)
+        spelled = list(map(known.spelled.__getitem__, at[start:stop].tolist()))
+        if not spelled or None in spelled:
+            yield (0, 0, 0, 0), "", links[:0], links[:0]
+            continue
+        pair, m = np.unique(links[before[start]:before[stop]], return_counts=True)
+        yield (*counts[start:stop].sum(0).tolist(), int(before[stop] - before[start])), ";".join(spelled), pair, m
+
+
+def _grouped(a_ids, a_ends, b_ids, b_ends) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids spelled in the order of the groups, each with the sign after it; the ends of the groups;
+    the end, A id and B id of every link.
 
     Both sequences tile the same bytes, so every end of either closes exactly one link: the
     pair of tokens that hold the byte before it.  Ends of both close a group.
@@ -144,32 +240,34 @@ def groups_and_links(a_ids, a_ends, b_ids, b_ends) -> tuple[str, int, np.ndarray
     order = np.lexsort((np.r_[np.arange(len(ga)), np.arange(len(gb))], np.r_[np.zeros(len(ga)), np.ones(len(gb))], np.r_[ga, gb]))
     ids = np.r_[a_ids, b_ids][order].tolist()
     seps = np.r_[sep_a, sep_b][order].tolist()
-    spelled = "".join(map("".join, zip(map(str, ids), seps)))[:-1]
-    return spelled, len(common), link_a, link_b
+    return list(map("".join, zip(map(str, ids), seps))), common, cuts, link_a, link_b
+
+
+def groups_and_links(a_ids, a_ends, b_ids, b_ends) -> tuple[str, int, np.ndarray, np.ndarray]:
+    """The spelled groups (``a1,a2|b1;a3|b2,b3``), their number, and the A and B id of every link."""
+    spelled, common, _, link_a, link_b = _grouped(a_ids, a_ends, b_ids, b_ends)
+    return "".join(spelled)[:-1], len(common), link_a, link_b
 
 
 _SPAN = operator.attrgetter("id", "begin", "end")
 PAIR = pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())])
 
 
+@lru_cache(maxsize=2)
+def _known(a_path: str, b_path: str) -> Known:
+    return Known(Tools(a_path, b_path))
+
+
 def aligned(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     """ALIGNED for ``_row, doc_id, text``: counts, group digest and distinct linked pairs of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = _tools(a_path, b_path)
-        for batch in batches:
+        known = _known(a_path, b_path)
+        for batch in (whole.slice(at, 500) for whole in batches for at in range(0, whole.num_rows, 500)):
             counts, digests, offsets, keys, many = [], [], [0], [], []
-            for text in batch.column("text").to_pylist():
-                found = align_text(text, tools)
-                if found is None:
-                    counts.append((0, 0, 0, 0))
-                    digests.append("")
-                    offsets.append(offsets[-1])
-                    continue
-                spelled, n_groups, link_a, link_b = groups_and_links(*found)
-                pair, m = np.unique((link_a << 32) | link_b, return_counts=True)
-                counts.append((len(found[0]), len(found[2]), n_groups, len(link_a)))
-                digests.append(hashlib.sha256(spelled.encode()).hexdigest())
+            for n, spelled, pair, m in align_texts(batch.column("text").to_pylist(), known):
+                counts.append(n)
+                digests.append(hashlib.sha256(spelled.encode()).hexdigest() if spelled else "")
                 keys.append(pair)
                 many.append(m)
                 offsets.append(offsets[-1] + len(pair))
@@ -198,7 +296,8 @@ def align_documents(docs: DataFrame, salts: int = SALTS, a_file: str = A_FILE, b
     made = store(aligned(rows, public_tokenizers.path(a_file), public_tokenizers.path(b_file)), "alignment")
     links = made.select("_row", F.pmod(F.xxhash64("_row"), F.lit(salts)).alias("_salt"), F.explode("pairs").alias("p")) \
         .select("_row", "_salt", "p.a", "p.b", "p.m")
-    part = links.groupBy("a", "b", "_salt").agg(F.count(F.lit(1)).alias("_n"))
+    # read three times below, and each time it would list all links again
+    part = store(links.groupBy("a", "b", "_salt").agg(F.count(F.lit(1)).alias("_n")), "pair-counts")
     total = part.groupBy("a", "b").agg(F.sum("_n").alias("count"))
     top = total.groupBy("a").agg(F.max("count").alias("_top"))
     stats = part.join(total.join(top, "a"), ["a", "b"]).select("a", "b", "_salt", "count", (F.col("count") == F.col("_top")).alias("_best"))

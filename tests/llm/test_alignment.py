@@ -3,6 +3,7 @@ import itertools
 import random
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import sentencepiece
 from tokenizers import Tokenizer
@@ -82,3 +83,36 @@ def test_long_text_clashing_columns_and_empty_table(spark):
     got = {r.doc_id: r for r in alignment.align_documents(df).collect()}
     assert got[1].n_a > 40_000 and got[1].n_groups > 0 and got[2].n_a == 0 and got[2].groups_sha256 == ""
     assert alignment.align_documents(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def tools():
+    return alignment.Tools(public_tokenizers.path(alignment.A_FILE), public_tokenizers.path(alignment.B_FILE))
+
+
+def test_stretches_align_as_the_whole_text(monkeypatch):
+    r = random.Random(8)
+    parts = ["the", "Straße", "日本語", "😀", "<|endoftext|>", "<s>", "\t", "\n", "\u00a0", "\u3000", "\x1c", "\x85", "\u2581", "\u200b", "é\u0301",
+             "\x00", "'s", "don't", "12a", "...", "<0x41>"]
+    texts = ["".join(r.choice(parts) + r.choice(["", " ", " ", "  "]) for _ in range(r.randint(1, 12))) for _ in range(3_000)]
+    texts += [None, "", " ", "  ", "a ", "a  ", " a", "a b"]
+    own, plain = alignment.Known(tools()), tools()
+    monkeypatch.setattr(alignment, "CACHED", 2_000)  # so that what is known is forgotten several times
+    for i in range(0, len(texts), 100):
+        batch = texts[i:i + 100]
+        for text, (n, spelled, pair, m) in zip(batch, alignment.align_texts(batch, own), strict=True):
+            found = alignment.align_text(text, plain)
+            if found is None:
+                assert n == (0, 0, 0, 0) and spelled == "" and len(pair) == len(m) == 0
+                continue
+            wanted, groups, link_a, link_b = alignment.groups_and_links(*found)
+            pairs, times = np.unique((link_a << 32) | link_b, return_counts=True)
+            assert (n, spelled) == ((len(found[0]), len(found[2]), groups, len(link_a)), wanted), text
+            assert pair.tolist() == pairs.tolist() and m.tolist() == times.tolist()
+
+
+def test_a_stretch_is_aligned_once(monkeypatch):
+    seen = []
+    monkeypatch.setattr(alignment, "align_run", lambda run, t, real=alignment.align_run: seen.extend(run) or real(run, t))
+    own = alignment.Known(tools())
+    got = list(alignment.align_texts(["one two one", "two one two"], own)) + list(alignment.align_texts(["one"], own))
+    assert sorted(seen) == [" one", " two"] and [n[3] > 0 for n, *_ in got] == [True] * 3
