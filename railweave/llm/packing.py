@@ -70,8 +70,9 @@ class _Words:
 
 
 @lru_cache(maxsize=2)
-def _load(path: str) -> _Words:
-    return _Words(path)
+def _load(path: str):
+    known = _Words(path)
+    return known.tokenizer, known
 
 
 def _slices(text: pa.Array) -> Iterator[tuple[int, int]]:
@@ -103,7 +104,7 @@ def pieces(docs: DataFrame, path: str = VOCABULARY, window: int = WINDOW, end: i
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _load(path)
+        _, known = _load(path)
         for whole in batches:
             for a, b in _slices(whole.column("text")):
                 batch = whole.slice(a, b - a)
