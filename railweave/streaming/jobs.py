@@ -7,6 +7,7 @@ query whose sink is idempotent per batch, so a replayed batch changes nothing.
 from __future__ import annotations
 
 import datetime as dt
+import pickle
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -122,9 +123,9 @@ def stream_sessions(sdf: DataFrame, gap: str = "30 minutes", delay: str = "1 day
 REQUEST = ["tenant_id", "payment_type", "request_key"]
 PAIRED = ("tenant_id string, payment_type string, request_key string, request_id string, requested_ts timestamp, expiry_ts timestamp, "
           "answer_id string, answered_ts timestamp")
-# instants in state are microseconds
-OPEN = ("requests array<struct<tenant_id:string, payment_type:string, request_key:string, id:string, asked:bigint, expiry:bigint, until:bigint, answered:boolean>>, "
-        "answers array<struct<tenant_id:string, payment_type:string, request_key:string, id:string, at:bigint>>")
+# requests (key, id, asked, expiry, until, answered) and answers (key, id, at), instants in microseconds, pickled
+# by the one function that reads them: as SQL structs every field would be converted twice a row and batch
+OPEN = "open binary"
 #: A request without expiry takes answers for this long after it was made; then it leaves state
 #: without counting as expired.
 OPEN_FOR = dt.timedelta(days=30)
@@ -144,7 +145,7 @@ def _settler(open_for: dt.timedelta):
 
     def settle(bucket: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         """Pair the request keys of one bucket: what waits is open requests and answers that may still meet one."""
-        requests, answers = ([list(r) for r in part] for part in state.get) if state.exists else ([], [])
+        requests, answers = pickle.loads(state.get[0]) if state.exists else ([], [])
         old_requests, old_answers, out = len(requests), len(answers), []
         for batch in batches:
             keys = [batch[c].tolist() for c in REQUEST]
@@ -171,10 +172,10 @@ def _settler(open_for: dt.timedelta):
                     r[7] = True
         now = state.getCurrentWatermarkMs() * 1000
         out += [(*r[:6], None, None) for r in requests if r[6] is not None and r[6] < now and not r[7] and r[5] is not None]
-        requests = [tuple(r) for r in requests if r[6] is not None and r[6] >= now]
-        answers = [tuple(a) for a in answers if a[4] is not None and a[4] >= now]  # a request yet to come is later than these
+        requests = [r for r in requests if r[6] is not None and r[6] >= now]
+        answers = [a for a in answers if a[4] is not None and a[4] >= now]  # a request yet to come is later than these
         if requests or answers:
-            state.update((requests, answers))
+            state.update((pickle.dumps((requests, answers), pickle.HIGHEST_PROTOCOL),))
             wake = min([r[6] for r in requests] + [a[4] for a in answers])
             state.setTimeoutTimestamp(max(wake // 1000 + 1, state.getCurrentWatermarkMs() + 1))
         elif state.exists:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pandas as pd
+
 from railweave.operators import cdc
 from railweave.sources.schemas import BUSINESS_KEY
 from railweave.streaming import jobs
@@ -65,3 +67,36 @@ def test_aggregated_newest_change_packs_only_the_named_columns(spark):
     assert sorted(map(tuple, newest.collect())) == [("a", 2), ("b", 3)]
     assert cdc.latest_changes_agg(rows).columns == rows.columns
     assert "note" not in newest._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+
+def test_what_a_bucket_waits_for_is_stored_in_one_piece():
+    """As SQL structs every waiting request was converted field by field, on the way in and out of every batch."""
+
+    class Held:
+        exists, value, wake = False, None, None
+
+        @property
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.exists, self.value = True, value
+
+        def remove(self):
+            self.exists, self.value = False, None
+
+        def getCurrentWatermarkMs(self):
+            return 0
+
+        def setTimeoutTimestamp(self, at):
+            self.wake = at
+
+    settle, state = jobs._settler(jobs.OPEN_FOR), Held()
+    at = lambda hour: pd.Timestamp(2024, 1, 1, hour)
+    names = [*jobs.REQUEST, "ts", "request_id", "expiry_ts", "answer_id"]
+    asked = pd.DataFrame([("T", "RTP", f"k{i}", at(1), f"r{i}", at(5), None) for i in range(50)], columns=names)
+    assert list(settle((0,), iter([asked]), state)) == []
+    assert len(state.value) == 1 and isinstance(state.value[0], bytes) and jobs.OPEN == "open binary"
+    answers = pd.DataFrame([("T", "RTP", "k7", at(4), None, pd.NaT, "a7"), ("T", "RTP", "k8", at(6), None, pd.NaT, "a8")], columns=names)
+    found, = settle((0,), iter([answers]), state)
+    assert found[["request_id", "answer_id"]].values.tolist() == [["r7", "a7"]]
