@@ -14,6 +14,12 @@ then still in different classes goes on with pivots, one at first and four times
 round, which meet the members of other classes, until only one class of the band has members
 that were no pivot.  So every pair of a band is either compared or
 already in one class, and a group of thousands of copies costs one comparison per member.
+
+Most pairs of a crowded band are edits of one text that resemble it, but not each other.  A bitmap
+per node holds, per bit, whether an odd number of its shingles (a repeated one counts each time,
+under its own number) fall on that bit.  What two nodes have in common cancels in the exclusive or
+of their bitmaps, so its bits are never more than the shingles they differ in: a pair with too
+many is surely not similar, and is settled by the join that finds it.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import rolling
@@ -34,6 +40,7 @@ SIMILAR = 0.8
 BANDS, ROWS = 69, 8  # a pair of similarity 0.8 shares no band once in 300,000 times; at 0.3 it shares one in 220
 SALT_PAIRS = 64
 BATCH_CHARS = 2_000_000
+ODD_WORDS = 16  # of 64 bits; longer texts fill them, and more of their pairs are left to the exact comparison
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,6 +109,25 @@ def band_keys(best: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndar
     return key.view(np.int64)
 
 
+def odd_bits(keys: np.ndarray, counts: np.ndarray, ends: np.ndarray, words: int = ODD_WORDS) -> np.ndarray:
+    """Per text and bit, whether an odd number of its shingles fall on it; the i-th of equal shingles is one of its own."""
+    doc = np.repeat(np.repeat(np.arange(len(ends)), np.diff(ends, prepend=0)), counts)
+    number = np.arange(len(doc)) - np.repeat(np.cumsum(counts) - counts, counts)
+    element = rolling.mix(np.repeat(keys, counts) + number.astype(np.uint64) * _STEP)
+    fallen = np.zeros((len(ends), 64 * words), np.uint8)  # wraps at an even number
+    np.add.at(fallen, (doc, ((element >> np.uint64(32)) * np.uint64(64 * words) >> np.uint64(32)).astype(np.int64)), 1)
+    return np.packbits(fallen & 1, 1).view(np.int64)
+
+
+def _may_be_similar(similar: float, n: str, odd: str, other_n: str, other_odd: str) -> Column:
+    """False only where the weighted Jaccard similarity is surely below ``similar``.
+
+    With s shingles in both and d in which they differ, it is (s - d) / (s + d).
+    """
+    apart = sum((F.bit_count(F.col(odd)[i].bitwiseXOR(F.col(other_odd)[i])) for i in range(1, ODD_WORDS)), F.bit_count(F.col(odd)[0].bitwiseXOR(F.col(other_odd)[0])))
+    return apart * (1 + similar) <= (F.col(n) + F.col(other_n)) * (1 - similar + 1e-9)
+
+
 def _chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     at = 0
     while at < len(texts):
@@ -119,7 +145,7 @@ def _digests(keys, counts, ends) -> list[bytes]:
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_md5, node, bands`` of each row; ``node`` is the digest of its multiset."""
+    """``doc_id, text_md5, node, bands, n, odd`` of each row; ``node`` is the digest of its multiset of ``n`` shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,10 +155,14 @@ def signed(docs: DataFrame) -> DataFrame:
                 band = band_keys(signatures(keys, counts, ends))
                 part = batch.slice(at, end - at)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, BANDS), pa.int32()), pa.array(band.ravel(), pa.int64()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_md5"), pa.array(_digests(keys, counts, ends), pa.binary()), lists], ["doc_id", "text_md5", "node", "bands"])
+                n = np.diff(np.concatenate([[0], np.cumsum(counts)])[ends], prepend=0)
+                odd = odd_bits(keys, counts, ends)
+                odds = pa.ListArray.from_arrays(pa.array(np.arange(0, odd.size + 1, ODD_WORDS), pa.int32()), pa.array(odd.ravel(), pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_md5"), pa.array(_digests(keys, counts, ends), pa.binary()), lists, pa.array(n, pa.int64()), odds],
+                                                 ["doc_id", "text_md5", "node", "bands", "n", "odd"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("text_md5"), "text")
-    return store(rows.mapInArrow(run, "doc_id long, text_md5 string, node binary, bands array<long>"), "minhash-signed")
+    return store(rows.mapInArrow(run, "doc_id long, text_md5 string, node binary, bands array<long>, n long, odd array<long>"), "minhash-signed")
 
 
 def _bags_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -224,8 +254,8 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """
     sig = signed(docs)
     one = F.min(F.struct("text_md5", "doc_id")).alias("one")
-    nodes = sig.groupBy("node").agg(one, F.first("bands").alias("bands"))
-    nodes = store(nodes.select("node", F.col("one.text_md5").alias("text_md5"), F.col("one.doc_id").alias("doc_id"), "bands"), "minhash-nodes")
+    nodes = sig.groupBy("node").agg(one, *(F.first(c).alias(c) for c in ("bands", "n", "odd")))
+    nodes = store(nodes.select("node", F.col("one.text_md5").alias("text_md5"), F.col("one.doc_id").alias("doc_id"), "bands", "n", "odd"), "minhash-nodes")
     band = nodes.select("node", F.explode("bands").alias("band"))
     full = store(nodes.select(F.explode("bands").alias("band")).groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("band"), "minhash-full")
     member = store(band.join(full, "band"), "minhash-members")
@@ -233,8 +263,8 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     pivot = store(member.groupBy("band").agg(F.min("node").alias("pivot")), "minhash-least")
     pairs = member.join(pivot, "band").groupBy("node").agg(F.min("pivot").alias("a")).where("a != node")
     pairs = store(pairs.select("a", F.col("node").alias("b")), "minhash-pairs")
-    bag = _bags_of(docs, nodes.drop("bands").join(member.select("node").distinct(), "node", "left_semi"))
-    tested = label = None
+    bag = _bags_of(docs, nodes.select("node", "text_md5", "doc_id").join(member.select("node").distinct(), "node", "left_semi"))
+    tested = label = shape = None
     used, count = member.select("band", "node").limit(0), 1
     while True:
         if not pairs.isEmpty():
@@ -253,12 +283,15 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         # labels only ever merge, so a settled band stays settled: the rest goes on
         now = store(now.join(open_, "band", "left_semi"), "minhash-open-members")
         member = now.select("band", "node")
+        if shape is None:  # later rounds meet some of the same nodes
+            shape = store(nodes.select("node", "n", "odd").join(member.select("node").distinct(), "node", "left_semi"), "minhash-shape")
         idle = now.join(used, ["band", "node"], "left_anti")
         # the next pivots of an open band: its first idle members, as many as the round allows
         turn = F.row_number().over(Window.partitionBy("band").orderBy("node"))
         pivots = store(idle.withColumn("turn", turn).where(F.col("turn") <= count).select("band", F.col("node").alias("p"), F.col("label").alias("own")), "minhash-next")
         used = store(used.unionByName(pivots.select("band", F.col("p").alias("node"))), "minhash-used")
-        meet = now.join(pivots, "band").where("label != own")
+        first = pivots.join(shape.select(F.col("node").alias("p"), F.col("n").alias("p_n"), F.col("odd").alias("p_odd")), "p")
+        meet = now.join(shape, "node").join(first, "band").where(F.col("label") != F.col("own")).where(_may_be_similar(similar, "n", "odd", "p_n", "p_odd"))
         fresh = meet.select(F.least("node", "p").alias("x"), F.greatest("node", "p").alias("y"), F.col("p").alias("a"), F.col("node").alias("b"))
         done = tested.select(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"))
         pairs = store(fresh.join(done, ["x", "y"], "left_anti").dropDuplicates(["x", "y"]).select("a", "b"), "minhash-pairs")

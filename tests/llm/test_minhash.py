@@ -102,3 +102,45 @@ def test_no_rows_and_no_pairs(spark):
     assert minhash.dedup_documents(spark.createDataFrame([], DOCS)).count() == 0
     rows = [(1, "a b c d e f"), (2, "g h i j k l")]
     assert sorted(map(tuple, minhash.dedup_documents(spark.createDataFrame(rows, DOCS)).collect())) == [(1, 1, 1), (2, 2, 1)]
+
+
+def test_odd_bits_never_say_more_than_the_shingles_differ():
+    """Edits of one text, all in one band: what resembles the text but not each other is settled without a comparison."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for edits in [0, 1, 2, 3] * 20 + [5, 6, 7, 8] * 20:
+        words = list(base)
+        for _ in range(edits):
+            words[r.randrange(len(words))] = f"x{r.random()}"
+        texts.append(" ".join(words))
+    texts += ["a b " * 300, "a b " * 320, "a b " * 500, None, "a"]
+    keys, counts, ends = minhash.bags(texts)
+    odd, sets = minhash.odd_bits(keys, counts, ends).view(np.uint64), [bag(t) for t in texts]
+    ruled_out = unlike = 0
+    for i in range(len(texts)):
+        for j in range(i):
+            bits = int(np.bitwise_count(odd[i] ^ odd[j]).sum())
+            apart = sum(((sets[i] - sets[j]) + (sets[j] - sets[i])).values())
+            assert bits <= apart and (bits - apart) % 2 == 0
+            if similarity(sets[i], sets[j]) < 0.8:
+                unlike += 1
+                ruled_out += bits * 9 > sum(sets[i].values()) + sum(sets[j].values())
+    assert ruled_out > 0.9 * unlike
+
+
+def test_crowded_band_compares_few_unlike_pairs(spark, monkeypatch):
+    """A band of edits of one text compared nearly all of its pairs, though few are similar."""
+    r = random.Random(6)
+    rows = []
+    for i in range(60):
+        words = [f"w{k}" for k in range(150)]
+        for k in r.sample(range(5, 145), 6):
+            words[k] = f"x{i}-{k}"
+        rows.append((i, " ".join(words)))
+    whole, verify, compared = minhash.signed, minhash._verify, []
+    monkeypatch.setattr(minhash, "signed", lambda docs: whole(docs).withColumn("bands", minhash.F.array(minhash.F.lit(1).cast("long"))))
+    monkeypatch.setattr(minhash, "_verify", lambda pairs, bags: compared.append(pairs.count()) or verify(pairs, bags))
+    found = minhash.dedup_documents(spark.createDataFrame(rows, DOCS)).collect()
+    assert sorted(map(tuple, found)) == [(i, i, 1) for i in range(60)]
+    assert sum(compared) < 100  # of 1,770 pairs
