@@ -12,7 +12,7 @@ Documents with equal multisets are one node.  Each node is first compared, exact
 with the least node it shares a band with, and joined to its class; a band whose members are
 then still in different classes goes on with pivots, one at first and four times as many each
 round, which meet the members of other classes, until only one class of the band has members
-that were no pivot.  So every pair of a band is either compared or
+that were no pivot.  So every pair of a band is either compared, surely not similar or
 already in one class, and a group of thousands of copies costs one comparison per member.
 
 Most pairs of a crowded band are edits of one text that resemble it, but not each other.  A bitmap
