@@ -119,6 +119,29 @@ def has_files(spark: SparkSession, path: str) -> bool:
     return fs.exists(root) and any(f.isDirectory() for f in fs.listStatus(root))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
+
+
+def move_folder(spark: SparkSession, source: str, target: str) -> bool:
+    """Put the folder ``source`` in the place of ``target``; False when there is no ``source``."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    old, new = jvm.org.apache.hadoop.fs.Path(source), jvm.org.apache.hadoop.fs.Path(target)
+    here, there = old.getFileSystem(conf), new.getFileSystem(conf)
+    there.delete(new, True)
+    if not here.exists(old):
+        return False
+    there.mkdirs(new.getParent())
+    if here.getUri().equals(there.getUri()):
+        moved = here.rename(old, new)
+    else:
+        moved = jvm.org.apache.hadoop.fs.FileUtil.copy(here, old, there, new, True, conf)
+    if not moved:
+        raise OSError(f"could not move {source} to {target}")
+    return True
+
+
 def _versions(spark: SparkSession, path: str) -> tuple[list[int], object, object]:
     """Numbers of the complete versions stored at ``path``, and its file system and root."""
     jvm = spark.sparkContext._jvm

@@ -100,3 +100,26 @@ def test_what_a_bucket_waits_for_is_stored_in_one_piece():
     answers = pd.DataFrame([("T", "RTP", "k7", at(4), None, pd.NaT, "a7"), ("T", "RTP", "k8", at(6), None, pd.NaT, "a8")], columns=names)
     found, = settle((0,), iter([answers]), state)
     assert found[["request_id", "answer_id"]].values.tolist() == [["r7", "a7"]]
+
+
+def test_dq_batch_is_flagged_once_and_replayed_in_place(spark):
+    """One write serves both folders, nothing is cached, and a replay replaces what it left."""
+    from pyspark.sql import functions as F
+    from railweave.session import scratch_path
+    from railweave.streaming import jobs
+    feed, good, bad = (scratch_path(spark, label) for label in ("feed", "good", "bad"))
+    spark.range(20).select(F.col("id").alias("n"), F.lit("x").alias("s")).write.parquet(feed)
+    rules = {"odd": F.col("n") % 2 == 1}
+    arriving = spark.readStream.schema("n long, s string").parquet(feed)
+    for again in range(2):  # another checkpoint: the same batch number comes again
+        jobs.start_dq(arriving, good, bad, f"{good}-ckpt{again}", rules).awaitTermination()
+    clean, broken = spark.read.parquet(good), spark.read.parquet(bad)
+    assert sorted(r.n for r in clean.collect()) == list(range(0, 20, 2))
+    assert sorted((r.n, r.dq_flags_json) for r in broken.collect()) == [(n, '["odd"]') for n in range(1, 20, 2)]
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(good)
+    names = [f.getPath().getName() for f in root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(root)]
+    assert names == ["batch=0"]
+    assert "persist" not in __import__("inspect").getsource(jobs.start_dq)
+    # a batch without broken rows still leaves a folder that can be read
+    jobs.start_dq(arriving, good + "2", bad + "2", good + "2-ckpt", {"never": F.lit(False)}).awaitTermination()
+    assert spark.read.parquet(bad + "2").count() == 0 and spark.read.parquet(good + "2").count() == 20
