@@ -123,3 +123,32 @@ def test_dq_batch_is_flagged_once_and_replayed_in_place(spark):
     # a batch without broken rows still leaves a folder that can be read
     jobs.start_dq(arriving, good + "2", bad + "2", good + "2-ckpt", {"never": F.lit(False)}).awaitTermination()
     assert spark.read.parquet(bad + "2").count() == 0 and spark.read.parquet(good + "2").count() == 20
+
+
+def test_velocity_keeps_hours_not_windows(spark):
+    """State is a row per bucket of parties, not one per party and window; the counts are those of every closed window."""
+    import datetime as dt
+    from collections import Counter
+    from pyspark.sql import functions as F
+    from railweave.session import scratch_path
+    from railweave.streaming import jobs
+    feed, out = scratch_path(spark, "feed"), scratch_path(spark, "velocity")
+    begin, seen = dt.datetime(2024, 1, 1), []
+    schema = "tenant_id string, originator_party_id string, transaction_ts timestamp"
+    for day in range(2):
+        rows = [("t", f"p{i % 5}" if i % 7 else None, begin + dt.timedelta(days=2 * day, minutes=37 * i)) for i in range(60)]
+        seen += rows
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(feed)
+        query = jobs.start(jobs.stream_velocity(spark.readStream.schema(schema).parquet(feed), buckets=3), jobs.batch_sink(out), out + "-ckpt")
+        query.awaitTermination()
+        assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 3
+    closed = max(ts for *_, ts in seen) - dt.timedelta(days=1)
+    want = Counter()
+    for tenant, party, ts in seen:
+        hour = ts.replace(minute=0, second=0, microsecond=0)
+        for back in range(24):
+            start = hour - dt.timedelta(hours=back)
+            if start + dt.timedelta(hours=24) <= closed:
+                want[tenant, party, str(start)] += 1
+    found = spark.read.parquet(out).select("tenant_id", "originator_party_id", F.col("window_start").cast("string"), "txn_count").collect()
+    assert len(found) == len(want) and {tuple(r)[:3]: r.txn_count for r in found} == dict(want)
